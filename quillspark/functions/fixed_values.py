@@ -4,7 +4,8 @@ Regular expressions here avoid look-around so that Java and RE2 read them alike.
 """
 
 # fixed values: white space as Python's ``\s`` understands it
-SPACE = r"\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WIDE_SPACE = r"\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACE = r"\s\x0b\x1c-\x1f" + WIDE_SPACE
 WS = f"[{SPACE}]"
 NOT_WS = f"[^{SPACE}]"
 
@@ -13,6 +14,7 @@ PAGE_NUMBER_LINE = rf"\n{WS}*\p{{Nd}}+{WS}*\n"
 PAGE_OF = r"Page \p{Nd}+ of \p{Nd}+"
 CHAPTER_MARK = r"Chapter \p{Nd}+"
 MIN_PAGE_WORDS = 4
+ENOUGH_WORDS = r"(?s)^[^ ]+ [^ ]+ [^ ]+ [^ ].*$"
 
 # fixed values: book clean-up, in order of use
 BOOK_URL = rf"https?://{NOT_WS}+|www\.{NOT_WS}+"

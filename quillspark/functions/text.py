@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 from . import fixed_values as V
 
 
+# The characters that book clean-up drops, in two steps that are cheap per character: one range test for the wide
+# characters, with white space looked at only where it fails, and a set of single ASCII characters.
+WIDE_DROPPED = rf"[^\x00-\x7f](?<![{V.WIDE_SPACE}])"
+ASCII_DROPPED = r"""[\x00-\x08\x0e-\x1b"#$%&'*+/<=>@\[\\\]^_`{|}~\x7f]"""
+
+# An address that fails to match from the start of a word fails from its later letters too; without this anchor
+# every long word is retried from each of them.
+AT_WORD_START = f"(?<!{V.NOT_WS})"
+
+
 def replace_all(text: Column, *steps: tuple[str, str]) -> Column:
     return reduce(lambda c, s: F.regexp_replace(c, s[0], s[1]), steps, text)
 
@@ -26,19 +36,20 @@ def collapse(text: Column) -> Column:
 def clean_page(text: Column) -> Column:
     """Page text without page and chapter marks; a page of three words or fewer becomes empty."""
     marked = replace_all(text, (V.PAGE_NUMBER_LINE, "\n"), (V.PAGE_OF, ""), (V.CHAPTER_MARK, ""))
-    flat = collapse(marked)
-    return F.when(F.size(F.split(flat, " ")) >= V.MIN_PAGE_WORDS, flat).otherwise(F.lit(""))
+    return F.regexp_extract(collapse(marked), V.ENOUGH_WORDS, 0)
 
 
 def clean_book(text: Column) -> Column:
     """Lower-case text with basic punctuation; the last step leaves the spaces around dropped numbers."""
-    kept = replace_all(text, (V.BOOK_URL, ""), (V.BOOK_EMAIL, ""), (V.BOOK_DROPPED_CHARS, ""))
+    linked = F.regexp_replace(text, V.BOOK_URL, "")
+    mailed = F.when(F.contains(text, F.lit("@")), F.regexp_replace(linked, AT_WORD_START + V.BOOK_EMAIL, "")).otherwise(linked)
+    kept = replace_all(mailed, (WIDE_DROPPED, ""), (ASCII_DROPPED, ""))
     return F.regexp_replace(collapse(F.lower(kept)), V.BOOK_NUMBER, "")
 
 
 def clean_review(text: Column) -> Column:
-    """Lower-case letters and single spaces only."""
-    return collapse(replace_all(F.lower(text), (V.REVIEW_TAG, " "), (V.REVIEW_URL, " "), (V.REVIEW_DROPPED_CHARS, " ")))
+    """Lower-case letters and single spaces only: dropped characters and white space end up as one space alike."""
+    return F.trim(replace_all(F.lower(text), (V.REVIEW_TAG, " "), (V.REVIEW_URL, " "), ("[^a-z]+", " ")))
 
 
 def strip_markup(html: Column) -> Column:
@@ -156,6 +167,18 @@ def with_ngrams(df: DataFrame, tokens: str, out: str, low: int, high: int) -> Da
     return df.withColumn(out, F.concat(*[runs(n) for n in range(low, high + 1)]))
 
 
+def each(df: DataFrame, keep: list[str], array: Column, name: str, place: str | None = None) -> DataFrame:
+    """One row per array element, with its position as ``place`` if wanted.
+
+    A plain ``explode`` makes the optimizer test the array's size below the projection that computes it, which
+    computes it twice; the outer form does not, and the empty rows are dropped afterwards.
+    """
+    if place:
+        rows = df.select(*keep, F.posexplode_outer(array).alias(place, name))
+        return rows.filter(F.col(place).isNotNull())
+    return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
 def check_chunking(size: int, overlap: int) -> int:
     if overlap >= size:
         raise ValueError(f"overlap {overlap} must be smaller than the chunk size {size}")
@@ -169,7 +192,7 @@ def with_chunks(df: DataFrame, text: str, size: int = V.CHUNK_WORDS, overlap: in
     starts = F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1, F.lit(step)))
     pieces = F.transform(starts, lambda i: F.array_join(F.slice(F.col("_words"), i + 1, F.lit(size)), " "))
     kept = [c for c in df.columns if c != "_words"]
-    return df.select(*kept, F.posexplode(pieces).alias("chunk_idx", "chunk"))
+    return each(df, kept, pieces, "chunk", place="chunk_idx")
 
 
 def distinct_items(tokens: Column) -> Column:

@@ -52,9 +52,12 @@ def rated_reviews(reviews: DataFrame, min_tokens: int = 3) -> DataFrame:
 
 
 def chunk_table(pages: DataFrame, size: int = V.CHUNK_WORDS, overlap: int = V.CHUNK_OVERLAP) -> DataFrame:
-    """Clean pages cut into word windows, each with its source, page, original text and label."""
-    cleaned = clean_pages(pages).withColumn("cleaned", X.clean_book(F.col("text")))
-    cleaned = cleaned.withColumnRenamed("text", "original_text")
+    """Clean pages cut into word windows, each with its source, page, original text and label.
+
+    A page left empty gives no window, so it needs no filter of its own.
+    """
+    cleaned = pages.withColumn("original_text", X.clean_page(F.col("text"))).drop("text")
+    cleaned = cleaned.withColumn("cleaned", X.clean_book(F.col("original_text")))
     cut = X.with_chunks(cleaned, "cleaned", size, overlap).drop("cleaned").withColumnRenamed("chunk", "text")
     return (cut.withColumn("chunk_id", F.concat_ws("_", F.lit("doc"), F.col("row_id"), F.col("chunk_idx")))
             .withColumn("label", X.source_label(F.col("source"))))
@@ -106,7 +109,7 @@ def look_up(tokens: DataFrame, mapping: DataFrame, key: str, value: str, rows: i
 
 def map_tokens(df: DataFrame, tokens: str, out: str, make_table) -> DataFrame:
     """Replace each token of an array column by a per-word table built from the distinct words of ``df``."""
-    longs = df.select("row_id", F.posexplode(tokens).alias("pos", "word"))
+    longs = X.each(df, ["row_id"], F.col(tokens), "word", place="pos")
     table = make_table(longs.select("word"))
     value = next(c for c in table.columns if c != "word")
     mapped = look_up(longs, table, "word", value)

@@ -129,3 +129,15 @@ def with_tables(*names_and_body: str, extra: dict[str, tuple[tuple[str, ...], st
         visit(name)
     parts = ",\n".join(f"{n} AS MATERIALIZED ({known[n][1]})" for n in ordered)
     return f"WITH {parts}\n{body}" if ordered else body
+
+
+SMALL_SIZE, SMALL_OVERLAP = 200, 50
+add_table("small_chunks", ("cleaned",), f"""
+SELECT row_id, CAST((i // {SMALL_SIZE - SMALL_OVERLAP}) AS INT) AS chunk_idx, array_to_string(w[i+1:i+{SMALL_SIZE}], ' ') AS chunk
+FROM (SELECT row_id, w, unnest(range(0, len(w), {SMALL_SIZE - SMALL_OVERLAP})) AS i FROM (SELECT row_id, {words('clean')} AS w FROM cleaned))""")
+_STEP = V.CHUNK_WORDS - V.CHUNK_OVERLAP
+add_table("chunks", ("kept_pages",), f"""
+SELECT row_id, source, page, lang, text AS original_text, CAST(i // {_STEP} AS INT) AS chunk_idx,
+       array_to_string(w[i+1:i+{V.CHUNK_WORDS}], ' ') AS chunk
+FROM (SELECT *, unnest(range(0, len(w), {_STEP})) AS i FROM
+      (SELECT *, {words(clean_book('text'))} AS w FROM kept_pages))""")

@@ -22,10 +22,10 @@ def csv_scan(spark, folder):
 
 @query("csv_sink_roundtrip", S.with_tables(
     "review_tokens", "SELECT row_id, overall, '[' || array_to_string(list_transform(tokens, lambda t: '\"' || t || '\"'), ',') || ']' AS tokens,"
-    " array_to_string(tokens, ' ') AS clean_joined FROM review_tokens"))
+    " array_to_string(tokens, ' ') AS clean_joined FROM review_tokens WHERE overall IS NOT NULL"))
 def csv_sink_roundtrip(spark, folder):
     path = scratch_path(spark, "csv-sink")
-    rows = WD.review_tokens(tables.reviews(spark, folder)).select(
+    rows = WD.review_tokens(tables.reviews(spark, folder).na.drop(subset=["overall"])).select(
         "row_id", F.col("overall").cast("int").alias("overall"), "tokens", F.array_join("tokens", " ").alias("clean_joined"))
     files.write_csv(rows, path)
     back = files.read_csv(spark, path, "row_id LONG, overall INT, tokens STRING, clean_joined STRING")
@@ -35,7 +35,7 @@ def csv_sink_roundtrip(spark, folder):
 @query("page_scan", "SELECT * FROM (SELECT page_id, regexp_extract(url, '[^/]+$', 0) AS source, "
                     f"{S.strip_markup('html')} AS text FROM pages) WHERE text <> ''")
 def page_scan(spark, folder):
-    return files.scan_pages(tables.table(spark, folder, "pages"))
+    return files.scan_pages(tables.spread(tables.table(spark, folder, "pages"), "page_id"))
 
 
 @query("file_slug", "SELECT doc_id AS row_id, lower(translate(concat(upper(source), ': [', lang, '] notes'), ' :[]', '_'))"
@@ -175,22 +175,10 @@ def preprocess_record(spark, folder):
     return record.select("row_id", "original_text", "cleaned_text", *[F.array_join(c, " ").alias(c) for c in lists])
 
 
-_SIZE, _OVERLAP = 200, 50
-S.add_table("small_chunks", ("cleaned",), f"""
-SELECT row_id, CAST((i // {_SIZE - _OVERLAP}) AS INT) AS chunk_idx, array_to_string(w[i+1:i+{_SIZE}], ' ') AS chunk
-FROM (SELECT row_id, w, unnest(range(0, len(w), {_SIZE - _OVERLAP})) AS i FROM (SELECT row_id, {S.words('clean')} AS w FROM cleaned))""")
-_STEP = V.CHUNK_WORDS - V.CHUNK_OVERLAP
-S.add_table("chunks", ("kept_pages",), f"""
-SELECT row_id, source, page, lang, text AS original_text, CAST(i // {_STEP} AS INT) AS chunk_idx,
-       array_to_string(w[i+1:i+{V.CHUNK_WORDS}], ' ') AS chunk
-FROM (SELECT *, unnest(range(0, len(w), {_STEP})) AS i FROM
-      (SELECT *, {S.words(S.clean_book('text'))} AS w FROM kept_pages))""")
-
-
 @query("chunk_words", S.with_tables("small_chunks", "SELECT row_id, chunk_idx, chunk FROM small_chunks"))
 def chunk_words(spark, folder):
     cleaned = tables.documents(spark, folder).select("row_id", X.clean_book(F.col("text")).alias("clean"))
-    return X.with_chunks(cleaned, "clean", _SIZE, _OVERLAP).select("row_id", "chunk_idx", "chunk")
+    return X.with_chunks(cleaned, "clean", S.SMALL_SIZE, S.SMALL_OVERLAP).select("row_id", "chunk_idx", "chunk")
 
 
 @query("chunk_table", S.with_tables(
@@ -213,7 +201,7 @@ def ngrams(spark, folder):
     "review_tokens", "SELECT DISTINCT row_id, unnest(tokens) AS item FROM review_tokens"))
 def transactions(spark, folder):
     rows = WD.review_tokens(tables.reviews(spark, folder))
-    return rows.select("row_id", F.explode(X.distinct_items(F.col("tokens"))).alias("item"))
+    return X.each(rows, ["row_id"], X.distinct_items(F.col("tokens")), "item")
 
 
 @query("prompt_table", S.with_tables("questions", f"SELECT q_id, replace({S.lit(V.PROMPT)}, '{{query}}', query) AS prompt FROM questions"))
@@ -231,7 +219,7 @@ def head_rows(spark, folder):
 @query("stem_vocab")
 def stem_vocab(spark, folder):
     rows = WD.book_columns(tables.page_docs(spark, folder))
-    return WD.stem_table(rows.select(F.explode("length_filtered_tokens").alias("word")))
+    return WD.stem_table(X.each(rows, [], F.col("length_filtered_tokens"), "word"))
 
 
 S.add_table("lemma_words", ("review_tokens",), "SELECT DISTINCT unnest(tokens) AS word FROM review_tokens")
@@ -250,6 +238,6 @@ QUALIFY row_number() OVER (PARTITION BY w.word ORDER BY len(c.guess), c.guess) =
     "review_tokens", "lemmas", "SELECT t.row_id, CAST(t.pos - 1 AS INT) AS pos, coalesce(l.lemma, t.token) AS lemma FROM (SELECT row_id,"
     " unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM review_tokens) t LEFT JOIN lemmas l ON t.token = l.word"))
 def lemma_join(spark, folder):
-    tokens = WD.review_tokens(tables.reviews(spark, folder)).select("row_id", F.posexplode("tokens").alias("pos", "word"))
+    tokens = X.each(WD.review_tokens(tables.reviews(spark, folder)), ["row_id"], F.col("tokens"), "word", place="pos")
     lemmas = WD.lemma_table(tokens.select("word"))
     return WD.look_up(tokens, lemmas, "word", "lemma").select("row_id", "pos", "lemma")

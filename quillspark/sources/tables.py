@@ -10,15 +10,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rehash an input that has fewer splits than there are cores; larger inputs are left as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"), "doc_id")
+
+
 def page_docs(spark: SparkSession, folder: str) -> DataFrame:
     """Page records. The twenty sources take turns in ``doc_id`` order, which gives the page without a sort."""
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         F.col("doc_id").alias("row_id"), "source",
         (F.floor(F.col("doc_id") / 20) + 1).cast("int").alias("page"), "lang", "text")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         F.col("doc_id").alias("row_id"), "source", "lang", "text")
 
 
@@ -29,12 +39,12 @@ def marked_docs(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("Chapter "), n, F.lit(" Intro\n "), n, F.lit(" \n"), F.col("text"),
         F.lit(" Page 3 of 12 see https://example.com/a?b=1 or www.example.org"), F.lit(" "),
         F.lit("mail me@example.com <b>end</b> 2024"))
-    return table(spark, folder, "documents").select(F.col("doc_id").alias("row_id"), "source", marked.alias("text"))
+    return texts(spark, folder).select(F.col("doc_id").alias("row_id"), "source", marked.alias("text"))
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Rated texts; the rating is null where no label exists."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = texts(spark, folder).select("doc_id", "text")
     rating = (1 + 2 * F.col("quality") + 2 * (1 - F.col("toxic"))).cast("double")
     return docs.join(table(spark, folder, "labels"), "doc_id", "left").select(
         F.col("doc_id").alias("row_id"), F.col("text").alias("reviewText"), rating.alias("overall"))
