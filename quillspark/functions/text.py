@@ -154,7 +154,7 @@ def with_term_counts(df: DataFrame, terms: str, out: str) -> DataFrame:
 
 
 def with_ngrams(df: DataFrame, tokens: str, out: str, low: int, high: int) -> DataFrame:
-    """Add ``out``: every run of ``low`` to ``high`` tokens, joined by a space."""
+    """Add ``out``: every run of ``low`` to ``high`` tokens, joined by a space. Runs with a null token are left out."""
 
     def runs(n: int) -> Column:
         toks = F.col(tokens)
@@ -162,9 +162,10 @@ def with_ngrams(df: DataFrame, tokens: str, out: str, low: int, high: int) -> Da
             return toks
         starts = F.when(F.size(toks) >= n, F.sequence(F.lit(0), F.size(toks) - n)).otherwise(
             F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(toks, i + j) for j in range(n)]))
+        return F.transform(starts, lambda i: F.concat(
+            *[p for j in range(n) for p in (F.lit(" "), F.get(toks, i + j))][1:]))
 
-    return df.withColumn(out, F.concat(*[runs(n) for n in range(low, high + 1)]))
+    return df.withColumn(out, F.array_compact(F.concat(*[runs(n) for n in range(low, high + 1)])))
 
 
 def each(df: DataFrame, keep: list[str], array: Column, name: str, place: str | None = None) -> DataFrame:

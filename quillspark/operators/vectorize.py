@@ -7,7 +7,7 @@ bounds what is collected and broadcast.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,24 +64,51 @@ class Vocabulary:
         return base.withColumn("idf", F.log((1.0 + self.n_docs) / (1.0 + F.col("df"))) + 1.0)
 
 
-def term_counts(df: DataFrame, text: str, spec: VectorizerSpec, only: list[str] | None = None) -> DataFrame:
-    """Add ``counts``: the ``(term, tf)`` pairs of each row, of the terms in ``only`` if given."""
+def _constants(terms: list[str]) -> str:
+    """A constant set for ``IN``, looked up by hash. Terms hold letters, digits, underscores and spaces only."""
+    return ", ".join(f"'{t}'" for t in terms) or "NULL"
+
+
+def term_counts(df: DataFrame, text: str, spec: VectorizerSpec, only: list[str] | None = None,
+                pool: list[str] | None = None) -> DataFrame:
+    """Add ``counts``: the ``(term, tf)`` pairs of each row; of the terms in ``only``, or made of words in ``pool``."""
     df = df.withColumn("_tokens", X.feature_tokens(F.col(text)))
+    if pool is not None:
+        df = df.withColumn("_tokens", F.expr(f"transform(_tokens, t -> CASE WHEN t IN ({_constants(pool)}) THEN t END)"))
     df = X.with_ngrams(df, "_tokens", "_grams", spec.low, spec.high)
     if only is not None:
-        # a constant set, looked up by hash: terms hold letters, digits, underscores and spaces only
-        quoted = ", ".join(f"'{t}'" for t in only) or "NULL"
-        df = df.withColumn("_grams", F.expr(f"filter(_grams, g -> g IN ({quoted}))"))
+        df = df.withColumn("_grams", F.expr(f"filter(_grams, g -> g IN ({_constants(only)}))"))
     return X.with_term_counts(df, "_grams", "counts").drop("_tokens", "_grams")
 
 
+def _totals(df: DataFrame, text: str, spec: VectorizerSpec, pool: list[str] | None = None) -> DataFrame:
+    pairs = X.each(term_counts(df, text, spec, pool=pool), [], F.col("counts"), "c")
+    return pairs.groupBy(F.col("c.term").alias("term")).agg(F.sum("c.tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+
+
+def _within(totals: DataFrame, spec: VectorizerSpec, n_docs: int) -> DataFrame:
+    return totals.filter((F.col("df") >= spec.min_df) & (F.col("df") <= spec.max_df * n_docs))
+
+
+def _frequent_words(df: DataFrame, text: str, spec: VectorizerSpec, n_docs: int) -> list[str] | None:
+    """The words that chosen n-grams can be made of, or None if they are too many to be constants.
+
+    An n-gram is never more frequent than its rarest word. If ``max_features`` single words are allowed, the count of
+    the last of them is a floor for every chosen term, so n-grams with a word below it need not be counted at all.
+    """
+    singles = _totals(df, text, replace(spec, high=1)).persist()
+    ranked = _within(singles, spec, n_docs).orderBy(F.desc("tf")).select("tf").limit(spec.max_features).collect()
+    floor = ranked[-1]["tf"] if len(ranked) == spec.max_features else max(spec.min_df, 1)
+    words = singles.filter(F.col("tf") >= floor).select("term").limit(CONSTANT_TERMS + 1).collect()
+    singles.unpersist()
+    return [r["term"] for r in words] if len(words) <= CONSTANT_TERMS else None
+
+
 def fit(df: DataFrame, text: str, spec: VectorizerSpec) -> Vocabulary:
     """Terms within the document-frequency limits, then the most frequent ``max_features`` of them."""
     n_docs = df.count()
-    pairs = X.each(term_counts(df, text, spec), [], F.col("counts"), "c")
-    totals = pairs.groupBy(F.col("c.term").alias("term")).agg(
-        F.sum("c.tf").alias("tf"), F.count(F.lit(1)).alias("df"))
-    allowed = totals.filter((F.col("df") >= spec.min_df) & (F.col("df") <= spec.max_df * n_docs))
+    pool = _frequent_words(df, text, spec, n_docs) if spec.low == 1 and spec.high > 1 else None
+    allowed = _within(_totals(df, text, spec, pool), spec, n_docs)
     top = allowed.orderBy(F.desc("tf"), "term").limit(spec.max_features).collect()
     ordered = sorted(top, key=lambda r: r["term"].encode())
     return Vocabulary(spec, n_docs, tuple((r["term"], i, r["tf"], r["df"]) for i, r in enumerate(ordered)))
@@ -93,26 +120,28 @@ def raw_weight(spec: VectorizerSpec, tf: Column, idf: Column) -> Column:
     return (1.0 + F.log(tf.cast("double")) if spec.sublinear else tf.cast("double")) * idf
 
 
-def sparse_rows(df: DataFrame, text: str, vocab: Vocabulary, key: str = "row_id") -> DataFrame:
-    """One row per key with parallel arrays ``idx`` and ``weight``; unit length for TF-IDF, empty without terms.
+def sparse_rows(df: DataFrame, text: str, vocab: Vocabulary, key: str = "row_id",
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per key, with the ``carry`` columns that go with it and parallel arrays ``idx`` and ``weight``; unit length for TF-IDF, empty without terms.
 
     The rows of one text leave the same task, so they are gathered before the shuffle and one compact
     row per text crosses it.
     """
     only = vocab.terms if vocab.size <= CONSTANT_TERMS else None
-    counted = term_counts(df.select(key, text), text, vocab.spec, only)
-    pairs = counted.select(key, F.explode_outer("counts").alias("c"))
-    pairs = pairs.select(key, F.col("c.term").alias("term"), F.col("c.tf").alias("n"))
+    counted = term_counts(df.select(key, *carry, text), text, vocab.spec, only)
+    pairs = counted.select(key, *carry, F.explode_outer("counts").alias("c"))
+    pairs = pairs.select(key, *carry, F.col("c.term").alias("term"), F.col("c.tf").alias("n"))
     terms = F.broadcast(vocab.table(df.sparkSession).select("term", "term_idx", "idf"))
     found = pairs.join(terms, "term", "left")
     entry = F.when(F.col("term_idx").isNotNull(), F.struct(
         F.col("term_idx").alias("i"), raw_weight(vocab.spec, F.col("n"), F.col("idf")).alias("w")))
-    packed = found.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    packed = found.groupBy(key, *carry).agg(
+        F.sort_array(F.collect_list(entry)).alias("e"), F.sum(entry["w"] * entry["w"]).alias("square"))
     idx, weight = F.transform("e", lambda x: x["i"]), F.transform("e", lambda x: x["w"])
     if vocab.spec.kind == "count":
-        return packed.select(key, idx.alias("idx"), weight.alias("weight"))
-    packed = packed.withColumn("norm", F.sqrt(F.aggregate("e", F.lit(0.0), lambda s, x: s + x["w"] * x["w"])))
-    return packed.select(key, idx.alias("idx"), F.transform("e", lambda x: x["w"] / F.col("norm")).alias("weight"))
+        return packed.select(key, *carry, idx.alias("idx"), weight.alias("weight"))
+    unit = F.transform("e", lambda x: x["w"] / F.sqrt("square"))
+    return packed.select(key, *carry, idx.alias("idx"), unit.alias("weight"))
 
 
 def long_rows(sparse: DataFrame, vocab: Vocabulary, key: str = "row_id") -> DataFrame:

@@ -183,7 +183,7 @@ def vec_delete(spark, folder):
 
 
 @query("vec_update", S.with_tables(
-    "vectors", f"SELECT v.id, coalesce(concat('quality ', l.quality), v.document) AS document,"
+    "vectors", f"SELECT v.id, coalesce('quality ' || l.quality, v.document) AS document,"
     f" {S.r6('list_sum(v.embedding)')} AS total, v.label FROM vectors v LEFT JOIN labels l ON v.vec_id = l.doc_id"))
 def vec_update(spark, folder):
     changes = tables.table(spark, folder, "labels").select(
