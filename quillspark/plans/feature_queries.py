@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import classify as C
 from ..operators import features as FT
 from ..operators import metrics as M
-from ..operators import nearest as N
 from ..operators import split as SP
 from ..operators import vectorize as VZ
+from ..operators import words as WD
+from ..session import stored
 from ..sources import tables
 from . import sqltext as S
 from .registry import query
@@ -67,23 +69,19 @@ S.add_table("board", ("board_scores", "board_cv"), "SELECT b.model, b.accuracy,
             " (SELECT model, avg(f1) AS cv_mean, stddev_pop(f1) AS cv_std FROM board_cv GROUP BY model) c ON b.model = c.model")
 
 
-def knn(train, test, k):
-    """``(vec_id, y, p)``: majority label of the ``k`` nearest training rows, ties to the smaller label."""
-    near = N.top_k(test.select(F.col("vec_id").alias("id"), "vector"), train.select(F.col("vec_id").alias("id"), "vector"), k)
-    labels = train.select(F.col("vec_id").alias("item_id"), F.col("label").alias("p"))
-    votes = near.join(labels, "item_id").groupBy("q_id", "p").agg(F.count(F.lit(1)).alias("votes"))
-    won = votes.groupBy("q_id").agg(F.max_by("p", F.struct("votes", (-F.col("p")).alias("low"))).alias("p"))
-    return test.select(F.col("vec_id"), F.col("label").alias("y")).join(won.withColumnRenamed("q_id", "vec_id"), "vec_id")
+def _sides(rows, test):
+    flat = rows.select(F.col("vec_id").alias("id"), "label", "vector", test.alias("is_test"))
+    return flat.filter(~F.col("is_test")), flat.filter("is_test")
 
 
-def knn_split(spark, folder, k=3):
-    rows = SP.at_random(points(spark, folder), "vec_id")
-    return knn(rows.filter("is_test = 0"), rows.filter("is_test = 1"), k)
+def knn_split(spark, folder, ks=(3,)):
+    train, test = _sides(SP.at_random(points(spark, folder), "vec_id"), F.col("is_test") == 1)
+    return C.knn(train, test, ks).withColumnRenamed("id", "vec_id")
 
 
-def knn_folds(spark, folder, k=3):
-    rows = SP.stratified_folds(points(spark, folder), "label", "vec_id").persist()
-    parts = [knn(rows.filter(F.col("fold") != f), rows.filter(F.col("fold") == f), k).withColumn("fold", F.lit(f)) for f in range(5)]
+def knn_folds(spark, folder, ks=(3,)):
+    rows = stored(SP.stratified_folds(points(spark, folder), "label", "vec_id"), "folds")
+    parts = [C.knn(*_sides(rows, F.col("fold") == f), ks).withColumn("fold", F.lit(f)) for f in range(5)]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
@@ -125,7 +123,7 @@ def label_encode(spark, folder):
 
 @query("knn_classify", S.with_tables("knn3", "SELECT vec_id, y, p FROM knn3"))
 def knn_classify(spark, folder):
-    return knn_split(spark, folder)
+    return knn_split(spark, folder).drop("k")
 
 
 @query("cv_scores", S.with_tables("board_cv", f"SELECT {r6('avg(f1)')} AS cv_mean, {r6('stddev_pop(f1)')} AS cv_std FROM board_cv WHERE model = 'knn3'"))
@@ -135,14 +133,10 @@ def cv_scores(spark, folder):
 
 
 def _board(spark, folder):
-    rows, cv = [], []
-    for k in (1, 3, 5):
-        rows.append(knn_split(spark, folder, k).withColumn("model", F.lit(f"knn{k}")))
-        cv.append(knn_folds(spark, folder, k).withColumn("model", F.lit(f"knn{k}")))
-    for parts in (rows, cv):
-        while len(parts) > 1:
-            parts.append(parts.pop().unionByName(parts.pop()))
-    board = M.leaderboard(rows[0], M.scores(cv[0], "y", "p", "model", "fold"))
+    ks, model = (1, 3, 5), F.concat(F.lit("knn"), F.col("k")).alias("model")
+    held_out = knn_split(spark, folder, ks).select("y", "p", model)
+    folds = knn_folds(spark, folder, ks).select("y", "p", model, "fold")
+    board = M.leaderboard(held_out, M.scores(folds, "y", "p", "model", "fold"))
     return board.select("model", *[X.rounded(F.col(c)).alias(c) for c in ("accuracy", "f1", "cv_mean", "cv_std")])
 
 
@@ -200,7 +194,6 @@ S.add_table("line_rows", ("rated", "line"), "SELECT row_id, overall AS y, a * re
 
 
 def line_fit(spark, folder):
-    from ..operators import words as WD
     rows = WD.rated_reviews(tables.reviews(spark, folder)).select("row_id", "overall", "review_len")
     line = rows.agg(F.regr_slope("overall", "review_len").alias("a"), F.regr_intercept("overall", "review_len").alias("b"))
     fitted = rows.join(F.broadcast(line), F.col("review_len").isNotNull())
