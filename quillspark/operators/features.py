@@ -6,7 +6,7 @@ as constants, so the data itself is not shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -77,15 +77,24 @@ def _affine(df: DataFrame, shift: list[float], scale: list[float]) -> DataFrame:
         "vector", lambda x, i: (x.cast("double") - F.get(low, i)) * F.get(factor, i)))
 
 
-def standard_scale(df: DataFrame) -> DataFrame:
-    """Zero mean and unit population deviation; constant features become 0."""
+def standard_scaler(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Fit on ``df``: zero mean and unit population deviation; constant features become 0."""
     s = column_stats(df)
-    return _affine(df, s["mean"], s["std"])
+    return lambda rows: _affine(rows, s["mean"], s["std"])
 
 
-def minmax_scale(df: DataFrame) -> DataFrame:
+def minmax_scaler(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Fit on ``df``: the range of each feature becomes 0 to 1."""
     s = column_stats(df)
-    return _affine(df, s["min"], [b - a for a, b in zip(s["min"], s["max"])])
+    return lambda rows: _affine(rows, s["min"], [b - a for a, b in zip(s["min"], s["max"])])
+
+
+def standard_scale(df: DataFrame) -> DataFrame:
+    return standard_scaler(df)(df)
+
+
+def minmax_scale(df: DataFrame) -> DataFrame:
+    return minmax_scaler(df)(df)
 
 
 def poly_terms(vector: Column, n: int) -> list[tuple[str, Column]]:

@@ -96,7 +96,7 @@ def frequent_itemsets(transactions: DataFrame, min_support: float = 0.01, max_le
 def association_rules(itemsets: DataFrame, metric: str = "lift", min_threshold: float = 1.2) -> DataFrame:
     """Every split of every itemset into antecedent and consequent, with support, confidence, lift, leverage and conviction."""
     several = itemsets.filter(F.size("items") > 1)
-    masks = F.sequence(F.lit(1), F.shiftleft(F.lit(1), F.size("items")) - 2)
+    masks = F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("items")) - 2).cast("int"))
     split = several.select("items", "support", F.explode(masks).alias("mask"))
 
     def side(bit: int) -> F.Column:

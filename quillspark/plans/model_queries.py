@@ -27,7 +27,7 @@ def labelled(spark, folder, binary=False):
     """Training and test sides of the vectors, as ``(id, label, features)``."""
     label = (F.col("label") >= 5).cast("double") if binary else F.col("label").cast("double")
     rows = SP.at_random(points(spark, folder), "vec_id").select(F.col("vec_id").alias("id"), label.alias("label"), "vector", "is_test")
-    rows = L.to_vectors(tables.spread(rows, "id")).persist()
+    rows = L.to_vectors(rows).persist()
     return rows.filter("is_test = 0").drop("is_test"), rows.filter("is_test = 1").drop("is_test")
 
 
