@@ -251,7 +251,7 @@ def poly_features(spark, folder):
 
 
 def _projected(spark, folder, centre):
-    chunks = chunks_of(spark, folder).persist()
+    chunks = stored(chunks_of(spark, folder).select("chunk_id", "text"), "chunks")
     vocab = VZ.fit(chunks, "text", VZ.BOOK_TFIDF)
     rows = VZ.sparse_rows(chunks, "text", vocab, "chunk_id").withColumnRenamed("weight", "vector").persist()
     p = FT.fit_projection(rows, vocab.size, 50, centre)

@@ -182,6 +182,7 @@ JOIN (SELECT cluster, count(*) AS n FROM doc_lang GROUP BY cluster) n ON n.clust
 def cluster_top_terms(spark, folder):
     docs = tables.documents(spark, folder).select("row_id", F.col("lang").alias("cluster"), F.col("text").alias("reviewText"))
     texts = WD.review_tokens(docs).select("row_id", "cluster", F.array_join("tokens", " ").alias("clean_joined"))
+    texts = stored(texts, "texts")
     vocab = VZ.fit(texts, "clean_joined", VZ.REVIEW_TFIDF)
     sparse = VZ.sparse_rows(texts, "clean_joined", vocab, "row_id", ("cluster",)).persist()
     pairs = F.arrays_zip(F.col("idx").alias("idx"), F.col("weight").alias("weight"))

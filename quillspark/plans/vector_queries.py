@@ -11,6 +11,7 @@ from ..operators import nearest as N
 from ..operators import vector_table as VT
 from ..operators import vectorize as VZ
 from ..operators import words as WD
+from ..session import stored
 from ..sources import tables
 from . import sqltext as S
 from .registry import query
@@ -59,6 +60,7 @@ def review_texts(spark, folder):
 
 
 def _weights(df, text, key, spec):
+    df = stored(df.select(key, text), "texts")
     vocab = VZ.fit(df, text, spec)
     rows = VZ.long_rows(VZ.sparse_rows(df, text, vocab, key), vocab, key)
     return rows.select(key, "term", X.rounded(F.col("weight")).alias("weight"))
@@ -102,7 +104,7 @@ S.add_table("hashed", ("books_w", "signs"), "SELECT w.chunk_id, s.d, sum(w.weigh
 @query("embed_hashed", S.with_tables("hashed", f"""
 SELECT chunk_id, CAST(d AS INT) AS dim, {S.r6('x / sqrt(sum(x * x) OVER (PARTITION BY chunk_id))')} AS x FROM hashed"""))
 def embed_hashed(spark, folder):
-    chunks = chunks_of(spark, folder)
+    chunks = stored(chunks_of(spark, folder).select("chunk_id", "text"), "chunks")
     vocab = VZ.fit(chunks, "text", VZ.BOOK_TFIDF)
     rows = E.hashed_projection(VZ.sparse_rows(chunks, "text", vocab, "chunk_id"), vocab, "chunk_id")
     return rows.filter(F.exists("embedding", lambda v: v != 0)).select(
