@@ -69,10 +69,10 @@ def ward(rows: DataFrame, k: int = 4, micro: int = MICRO_CLUSTERS, seed: int = V
     return placed.select("id", F.get(lookup, F.col("cluster")).alias("cluster"))
 
 
-def top_terms(weights: DataFrame, clusters: DataFrame, key: str, top: int = 10) -> DataFrame:
+def top_terms(weights: DataFrame, clusters: DataFrame, top: int = 10) -> DataFrame:
     """``(cluster, rank, term, weight)``: terms of highest mean weight over all rows of a cluster.
 
-    ``weights`` is ``(key, cluster, term, weight)``. Sums per (cluster, term) are combined map-side; ranking sees only them.
+    ``weights`` is ``(cluster, term, weight)``. Sums per (cluster, term) are combined map-side; ranking sees only them.
     """
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     sums = weights.groupBy("cluster", "term").agg(F.sum("weight").alias("s"))

@@ -39,13 +39,15 @@ def long_form(df: DataFrame, keep: list[str]) -> DataFrame:
 def f_scores(df: DataFrame, label: str) -> DataFrame:
     """ANOVA F of each feature against the label. Absent entries count as zero; constant features score null."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    whole = sizes.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
+    whole = sizes.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k")).head()
+    n, k = whole["n"], whole["k"]
     sums = long_form(df, [label]).groupBy("feature", label).agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
     per = sums.join(F.broadcast(sizes), label).groupBy("feature").agg(
         F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum(F.col("s") * F.col("s") / F.col("n_c")).alias("b"))
-    per = per.join(F.broadcast(whole), F.col("n") > 0)
-    between = (F.col("b") - F.col("s") * F.col("s") / F.col("n")) / (F.col("k") - 1)
-    within = (F.col("q") - F.col("b")) / (F.col("n") - F.col("k"))
+    if n is None or k < 2 or n <= k:
+        raise ValueError("scores need two labels or more, and more rows than labels")
+    between = (F.col("b") - F.col("s") * F.col("s") / n) / (k - 1)
+    within = (F.col("q") - F.col("b")) / (n - k)
     return per.select("feature", F.when(within > 1e-15, between / within).alias("f"))
 
 

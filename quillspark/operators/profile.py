@@ -56,6 +56,5 @@ def length_histogram(df: DataFrame, text: str, width: int = 50) -> DataFrame:
 
 def cloud_weights(frequency: DataFrame) -> DataFrame:
     """Count of each word relative to the most frequent one."""
-    top = frequency.agg(F.max("n").alias("top"))
-    joined = frequency.join(F.broadcast(top), F.col("n") <= F.col("top"))
-    return joined.select("word", (F.col("n") / F.col("top")).alias("weight"))
+    top = frequency.agg(F.max("n")).scalar()
+    return frequency.select("word", (F.col("n") / top).alias("weight"))

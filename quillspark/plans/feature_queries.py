@@ -195,9 +195,8 @@ S.add_table("line_rows", ("rated", "line"), "SELECT row_id, overall AS y, a * re
 
 def line_fit(spark, folder):
     rows = WD.rated_reviews(tables.reviews(spark, folder)).select("row_id", "overall", "review_len")
-    line = rows.agg(F.regr_slope("overall", "review_len").alias("a"), F.regr_intercept("overall", "review_len").alias("b"))
-    fitted = rows.join(F.broadcast(line), F.col("review_len").isNotNull())
-    return fitted.select("row_id", F.col("overall").alias("y"), (F.col("a") * F.col("review_len") + F.col("b")).alias("p"))
+    line = rows.agg(F.regr_slope("overall", "review_len").alias("a"), F.regr_intercept("overall", "review_len").alias("b")).head()
+    return rows.select("row_id", F.col("overall").alias("y"), (line["a"] * F.col("review_len") + line["b"]).alias("p"))
 
 
 @query("linreg_simple", S.with_tables("line_rows", f"SELECT row_id, y, {r6('p')} AS p FROM line_rows"))

@@ -189,7 +189,7 @@ def cluster_top_terms(spark, folder):
     weights = X.each(sparse, ["row_id", "cluster"], pairs, "e").select(
         "row_id", "cluster", F.col("e.idx").alias("term_idx"), F.col("e.weight").alias("weight"))
     weights = weights.join(F.broadcast(vocab.table(spark).select("term_idx", "term")), "term_idx")
-    top = CL.top_terms(weights, sparse, "row_id")
+    top = CL.top_terms(weights, sparse)
     return top.select("cluster", "rank", "term", X.rounded(F.col("weight")).alias("weight"))
 
 

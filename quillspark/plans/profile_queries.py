@@ -100,5 +100,5 @@ def corpus_counts(spark, folder):
     per_source = per_page.groupBy("source").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("chunks"))
     totals = per_source.agg(F.sum("pages").alias("n_pages"), F.sum("chunks").alias("n_chunks"),
                             F.count(F.lit(1)).alias("n_sources"))
-    rows = pages.agg(F.count(F.lit(1)).alias("n_rows"))
-    return rows.join(F.broadcast(totals), F.col("n_pages") <= F.col("n_rows"))
+    rows = tables.table(spark, folder, "documents").agg(F.count(F.lit(1))).scalar()
+    return totals.withColumn("n_rows", rows)

@@ -85,7 +85,7 @@ def clusters(prepared: dict, k: int = 4) -> tuple[DataFrame, DataFrame]:
     sparse = prepared["sparse"].withColumnRenamed("vector", "weight")
     weights = vectorize.long_rows(sparse, prepared["tfidf"], "row_id").join(
         flat.select("row_id", F.col("cluster_kmeans").alias("cluster")), "row_id")
-    terms = cluster.top_terms(weights, flat.select("row_id", F.col("cluster_kmeans").alias("cluster")), "row_id")
+    terms = cluster.top_terms(weights, flat.select("row_id", F.col("cluster_kmeans").alias("cluster")))
     return flat.join(agg, "row_id"), terms
 
 
