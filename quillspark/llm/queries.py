@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing
+from . import html_text, mixing, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,12 +26,34 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.digest_rows(warc.round_trip(table(spark, folder, "pages")))
+
+
+def op7_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_warc_captures": op2_warc_captures,
+    "op7_html_main_text": op7_html_main_text,
     "op8_mix_sources": op8_mix_sources,
 }
-SQL: dict[str, str] = {}
+NIBBLE = "(strpos('0123456789abcdef', substr(h, {0}, 1)) - 1)"
+BASE32 = " || ".join(
+    f"substr('{warc.BASE32}', ((({NIBBLE.format(5 * i // 4 + 1)} * 16 + {NIBBLE.format(5 * i // 4 + 2)}) >> {3 - 5 * i % 4}) & 31)::INT + 1, 1)"
+    for i in range(32))
+SQL: dict[str, str] = {
+    "op2_warc_captures": f"""
+        WITH hashed AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+        digests AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {BASE32} AS payload_digest FROM hashed),
+        firsts AS (SELECT payload_digest, max(page_id) AS first FROM digests GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM digests JOIN firsts USING (payload_digest)""",
+}

@@ -48,7 +48,8 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8
 
 
 def as_table(columns: dict[str, Sequence], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+    made = [c if isinstance(c := columns[f.name], pa.Array) else pa.array(c, type=f.type) for f in schema]
+    return pa.RecordBatch.from_arrays(made, schema=schema)
 
 
 def words_count(text: Column) -> Column:
