@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, mixing, packing, warc
+from . import html_text, langid, mixing, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,11 +38,16 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_warc_captures": op2_warc_captures,
     "op7_html_main_text": op7_html_main_text,
     "op8_mix_sources": op8_mix_sources,
+    "op10_language_id": op10_language_id,
 }
 NIBBLE = "(strpos('0123456789abcdef', substr(h, {0}, 1)) - 1)"
 BASE32 = " || ".join(
