@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import html_text, langid, mixing, packing, warc
+from . import cross_polytope, html_text, langid, mixing, near_vectors, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,14 @@ def op2_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
     return warc.digest_rows(warc.round_trip(table(spark, folder, "pages")))
 
 
+def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, folder, "embeddings"), cosine=0.98)
+
+
+def op6_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return cross_polytope.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
@@ -45,6 +54,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_warc_captures": op2_warc_captures,
+    "op5_near_vectors": op5_near_vectors,
+    "op6_nearest_vectors": op6_nearest_vectors,
     "op7_html_main_text": op7_html_main_text,
     "op8_mix_sources": op8_mix_sources,
     "op10_language_id": op10_language_id,
@@ -54,6 +65,16 @@ BASE32 = " || ".join(
     f"substr('{warc.BASE32}', ((({NIBBLE.format(5 * i // 4 + 1)} * 16 + {NIBBLE.format(5 * i // 4 + 2)}) >> {3 - 5 * i % 4}) & 31)::INT + 1, 1)"
     for i in range(32))
 SQL: dict[str, str] = {
+    "op5_near_vectors": """
+        WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach AS (SELECT vec_id AS node, vec_id AS found FROM v UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.found)
+        SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.c, e.vec_id) AS component_id, e.vec_id = coalesce(c.c, e.vec_id) AS kept
+        FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+        LEFT JOIN (SELECT node, min(found) AS c FROM reach GROUP BY node) c ON c.node = e.vec_id""",
     "op2_warc_captures": f"""
         WITH hashed AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
         digests AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {BASE32} AS payload_digest FROM hashed),
