@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_polytope, html_text, langid, mixing, near_vectors, packing, warc
+from . import cross_polytope, html_text, langid, mixing, near_vectors, packing, shingle_join, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_join.jaccard_components(table(spark, folder, "documents"), percent=80, words=5)
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op6_nearest_vectors": op6_nearest_vectors,
     "op7_html_main_text": op7_html_main_text,
     "op8_mix_sources": op8_mix_sources,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 NIBBLE = "(strpos('0123456789abcdef', substr(h, {0}, 1)) - 1)"
@@ -65,6 +70,18 @@ BASE32 = " || ".join(
     f"substr('{warc.BASE32}', ((({NIBBLE.format(5 * i // 4 + 1)} * 16 + {NIBBLE.format(5 * i // 4 + 2)}) >> {3 - 5 * i % 4}) & 31)::INT + 1, 1)"
     for i in range(32))
 SQL: dict[str, str] = {
+    "op9_jaccard_join": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' '))))
+                WHEN len(w) > 0 THEN [hash(array_to_string(w, ' '))] ELSE [] END AS s FROM w),
+        u AS (SELECT doc_id, unnest(s) AS x FROM s),
+        c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+        near AS (SELECT a, b FROM c JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b WHERE 100 * n >= 80 * (len(p.s) + len(q.s) - n)),
+        links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+        reach AS (SELECT doc_id AS node, doc_id AS found FROM s UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.found)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.c AS component_id
+        FROM s JOIN (SELECT node, min(found) AS c FROM reach GROUP BY node) r ON r.node = s.doc_id""",
     "op5_near_vectors": """
         WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
             WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
