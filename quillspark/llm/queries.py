@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_polytope, html_text, langid, mixing, near_vectors, packing, shingle_join, warc
+from . import cross_polytope, html_text, langid, mixing, near_vectors, packing, repeated_spans, shingle_join, surrogates, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,14 @@ def op2_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
     return warc.digest_rows(warc.round_trip(table(spark, folder, "pages")))
 
 
+def op3_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return surrogates.with_surrogates(table(spark, folder, "documents")).select("doc_id", "n_entities", "text")
+
+
+def op4_repeated_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans.remove_repeats(table(spark, folder, "documents"), window=200)
+
+
 def op5_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, folder, "embeddings"), cosine=0.98)
 
@@ -58,6 +66,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_warc_captures": op2_warc_captures,
+    "op3_pii_surrogates": op3_pii_surrogates,
+    "op4_repeated_spans": op4_repeated_spans,
     "op5_near_vectors": op5_near_vectors,
     "op6_nearest_vectors": op6_nearest_vectors,
     "op7_html_main_text": op7_html_main_text,
