@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import as_table, small_batches, stored, tasks_for
 
@@ -156,7 +157,7 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_
     tasks = tasks_for(count, pieces_per_task)
     run = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(tasks_for(count // tasks, 2 * open_bins)))
     columns = kept.columns
-    schema = kept.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType([*kept.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
