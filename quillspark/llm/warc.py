@@ -190,7 +190,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
 
 def digest_rows(found: DataFrame) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to``, the last as the page whose response holds the payload."""
-    flat = stored(found.select("capture_id", F.col("metadata.fields")["page-id"].cast("long").alias("page_id"), F.col("response.payload_bytes"),
+    flat = stored(found.select("capture_id", F.col("metadata.fields")["page-id"].try_cast("long").alias("page_id"), F.col("response.payload_bytes"),
                                F.col("response.payload_digest"), F.col("response.kind").alias("record_type"), F.col("response.refers_to").alias("_to")),
                   "captures")
     firsts = flat.filter((F.col("record_type") == "response") & (F.col("payload_bytes") >= 0)).groupBy(F.col("capture_id").alias("_first")).agg(F.max("page_id").alias("refers_to"))
