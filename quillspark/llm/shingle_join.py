@@ -9,8 +9,10 @@ leaves linked sets a common signature in a filled part.
 Shingles that are frequent in a bounded sample are first left out of the parts. Leaving out a fixed set of elements never makes two sets differ more, so
 no link is lost, whatever the sample; a set that is left with too many empty parts also has signatures of its whole self.
 
-Candidates are verified with whole sets. Equal sets are one node. In a small signature group all pairs are candidates; in a larger one each
-member meets the first, and afterwards the members that are not yet connected meet each other. So no group is written out as pairs of connected members.
+Equal sets are one node. Sets that share a signature, directly or through others, form a cluster; links lie within clusters. Clusters are cut into blocks
+of bounded size. All sets of a block are compared with each other and with two pivots of the cluster, by products of incidence matrices. In clusters of
+several blocks, the sets outside the largest connected part then meet all blocks. Tasks give back a spanning star per block, never pairs, and sets move
+once for the first comparison.
 
 Edge cases: a null or empty text, or one of white space, has no shingles and links with nothing. With fewer words than a shingle needs, the whole
 text is one shingle. Rows with a null id take part; ``component_id`` is the smallest id that is not null, if there is one. Repeated rows are linked
@@ -34,7 +36,9 @@ from .shared import as_table, small_batches, stored
 WORDS, PERCENT = 5, 80
 BATCH = 2 << 20
 CACHED_WORDS = 300_000
-SMALL_GROUP = 6
+BLOCK = 512
+COLUMNS = 8_192
+BUCKET_BYTES = 4 << 20
 SAMPLE_DOCS = 4_000
 COMMON = 0.005
 PART_BYTES = 12 << 20
@@ -229,8 +233,8 @@ def signature_blocks(docs: DataFrame, common: np.ndarray, parts_count: int, word
     return docs.mapInArrow(rows, "part int, entries binary")
 
 
-def matched_groups(table: pa.Table) -> pa.Table:
-    """Candidates of one part: ``kind`` 0 has a pair of sets and the number of groups they met in, ``kind`` 1 a large group and a member."""
+def matched_sets(table: pa.Table) -> pa.Table:
+    """Sets of one part that share a signature, each tied to the first of its signature group: distinct pairs ``a``, ``b``."""
     packed = np.frombuffer(b"".join(table.column("entries").to_pylist()), dtype="<u4").reshape(-1, 3)
     high = packed[:, 2].astype(np.uint64)
     sig = packed[:, 0].astype(np.uint64) | ((high & np.uint64(0xFFFF)) << np.uint64(32))
@@ -244,72 +248,120 @@ def matched_groups(table: pa.Table) -> pa.Table:
     sig, who = sig[shared], who[shared]
     order = np.lexsort((who, sig))
     sig, who = sig[order], who[order]
-    fresh = np.ones(len(sig), dtype=bool)
-    fresh[1:] = (sig[1:] != sig[:-1]) | (who[1:] != who[:-1])
-    sig, who = sig[fresh], who[fresh]
     starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, np.int64)
-    sizes = np.diff(np.append(starts, len(sig)))
-    size = np.repeat(sizes, sizes)
-    place = np.arange(len(sig)) - np.repeat(starts, sizes)
-    a, b = [], []
-    for step in range(1, SMALL_GROUP):
-        at = np.flatnonzero((size <= SMALL_GROUP) & (place >= step))
-        a.append(who[at - step])
-        b.append(who[at])
-    big = np.flatnonzero((size > SMALL_GROUP) & (place > 0))
-    a.append(who[np.repeat(starts, sizes)[big]])
-    b.append(who[big])
-    a, b = np.concatenate(a), np.concatenate(b)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    cuts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
-    met = np.diff(np.append(cuts, len(a)))
-    large = np.flatnonzero(sizes > SMALL_GROUP)
-    names = np.add.reduceat(mixed(who * ODD[12]), starts)[large] if len(large) else np.zeros(0, np.uint64)
-    _, first = np.unique(names, return_index=True)
-    groups = [np.arange(starts[g], starts[g] + sizes[g]) for g in large[first]]
-    members = np.concatenate(groups) if groups else np.zeros(0, np.int64)
-    group = np.repeat(names[first], [len(g) for g in groups]) if groups else np.zeros(0, np.uint64)
-    return pa.table({
-        "kind": pa.array(np.repeat([0, 1], [len(cuts), len(members)]).astype(np.int32)),
-        "a": pa.array(np.concatenate([a[cuts], group]).view(np.int64)), "b": pa.array(np.concatenate([b[cuts], who[members]]).view(np.int64)),
-        "met": pa.array(np.concatenate([met, np.zeros(len(members), np.int64)]).astype(np.int64))})
+    first = np.repeat(who[starts], np.diff(np.append(starts, len(sig))))
+    pairs = np.unique(np.stack([first, who], axis=1)[first != who], axis=0) if len(sig) else np.zeros((0, 2), np.uint64)
+    return pa.table({"a": pa.array(pairs[:, 0].astype(np.int64), pa.int64()), "b": pa.array(pairs[:, 1].astype(np.int64), pa.int64())})
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``node, shingles`` of the wanted rows (``key, doc, want``: node, id and mark)."""
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+    """The wanted rows (``node, doc, want, cluster, block, blocks, pivot``; ``doc`` and ``want`` being id and mark) with ``shingles``."""
+    names = ["node", "cluster", "block", "blocks", "pivot"]
+    schema = pa.schema([("node", pa.int64()), ("cluster", pa.int64()), ("block", pa.int32()), ("blocks", pa.int32()), ("pivot", pa.bool_()),
+                        ("shingles", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in small_batches(batches, "text", BATCH):
             sets = shingle_sets(batch.column("text").to_pylist(), known, words)
             keep = [i for i, (s, m) in enumerate(zip(sets, batch.column("want").to_pylist())) if mark_of(s) == m]
-            nodes = batch.column("key").to_pylist()
-            yield as_table({"node": [nodes[i] for i in keep], "shingles": [sets[i].tobytes() for i in keep]}, schema)
+            part = batch.take(pa.array(keep, pa.int64()))
+            yield as_table({n: part.column(n) for n in names} | {"shingles": [sets[i].tobytes() for i in keep]}, schema)
 
     met = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("doc")))
-    return met.select("key", "want", "text").mapInArrow(rows, "node long, shingles binary")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs of nodes (``a``, ``b``) whose sets are similar enough."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = [], []
-            for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "xs", "ys"))):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                if 100 * both >= percent * (len(p) + len(q) - both):
-                    a.append(i)
-                    b.append(j)
-            yield as_table({"a": a, "b": b}, schema)
-
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xs"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("ys"))
-    return stored(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "xs", "ys").mapInArrow(rows, "a long, b long"), "linked")
+    return met.select(*names, "want", "text").mapInArrow(rows, "node long, cluster long, block int, blocks int, pivot boolean, shingles binary")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common elements of all sets of two lists, by products of incidence matrices over a range of elements at a time."""
+    sizes = [len(x) for x in left + right]
+    values, place = np.unique(np.concatenate(left + right), return_inverse=True)
+    seen = np.bincount(place)
+    rank = np.where(seen > 1, np.cumsum(seen > 1) - 1, -1)[place]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    owner, rank = owner[rank >= 0], rank[rank >= 0]
+    order = np.argsort(rank, kind="stable")
+    owner, rank = owner[order], rank[order]
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    for low in range(0, int((seen > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(rank, [low, low + COLUMNS])
+        grid = np.zeros((len(sizes), COLUMNS), dtype=np.float32)
+        grid[owner[a:b], rank[a:b] - low] = 1
+        total += grid[:len(left)] @ grid[len(left):].T
+    return total
+
+
+def star_of(nodes: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For links between places ``p`` and ``q``: the linked nodes and the smallest node each is connected to."""
+    root = nodes.copy()
+    while len(p):
+        before = root.copy()
+        low = np.minimum(root[p], root[q])
+        np.minimum.at(root, p, low)
+        np.minimum.at(root, q, low)
+        if (before == root).all():
+            break
+    met = np.unique(np.concatenate([p, q]))
+    met = met[root[met] != nodes[met]]
+    return nodes[met], root[met]
+
+
+def similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    both = common_counts(left, right)
+    union = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :] - both
+    return np.nonzero((100 * both >= percent * union) & (both > 0))
+
+
+def block_stars(percent: int):
+    """For blocks dealt to one task: stars of the links inside each block and with its pivots."""
+    def rows(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("cluster", "ascending"), ("block", "ascending")])
+        cluster, block = table.column("cluster").to_numpy(), table.column("block").to_numpy()
+        nodes, raw = table.column("node").to_numpy(), table.column("shingles")
+        starts = np.flatnonzero(np.append(True, (cluster[1:] != cluster[:-1]) | (block[1:] != block[:-1])))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for low, high in zip(starts, np.append(starts[1:], len(nodes))):
+            sets = [np.frombuffer(x, np.uint64) for x in raw.slice(low, high - low).to_pylist()]
+            p, q = similar(sets, sets, percent)
+            node, root = star_of(nodes[low:high], p, q)
+            a.append(node)
+            b.append(root)
+        return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
+
+    return rows
+
+
+def seeker_stars(percent: int):
+    """For one block of seekers and one of a cluster's blocks: stars of the links between them."""
+    def rows(table: pa.Table) -> pa.Table:
+        seeks = table.column("seeks").to_numpy()
+        nodes, raw = table.column("node").to_numpy(), table.column("shingles").to_pylist()
+        left, right = np.flatnonzero(seeks), np.flatnonzero(~seeks)
+        a = b = np.zeros(0, np.int64)
+        if len(left) and len(right):
+            sets = [np.frombuffer(x, np.uint64) for x in raw]
+            p, q = similar([sets[i] for i in left], [sets[i] for i in right], percent)
+            a, b = star_of(nodes, left[p], right[q])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows
+
+
+def later_links(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """Links of clusters of several blocks between the sets outside the largest connected part and all blocks. ``sets`` are those clusters' sets."""
+    own = sets.filter(~F.col("pivot"))
+    rooted = stored(own.select("cluster", "node", "block", "blocks").join(smallest_reachable(links), "node", "left").select(
+        "cluster", "node", "block", "blocks", F.coalesce("component", "node").alias("root")), "rooted")
+    parts = rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = stored(parts.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), (F.sum("n") - F.max("n")).alias("seekers"))
+                     .filter(F.col("seekers") > 0).withColumn("rows", F.ceil(F.col("seekers") / BLOCK).cast("int")), "largest")
+    left = rooted.join(largest, "cluster").filter(F.col("root") != F.col("largest")).select(
+        "node", "cluster", "blocks", F.pmod(F.xxhash64("node", F.lit(2)), F.col("rows")).cast("int").alias("row"))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    seeks = left.select("node", "cluster", "row", spread("blocks").alias("block"), F.lit(True).alias("seeks"))
+    met = rooted.join(largest.select("cluster", "rows"), "cluster").select("node", "cluster", spread("rows").alias("row"), "block", F.lit(False).alias("seeks"))
+    dealt = stored(seeks.unionByName(met), "dealt").join(own.select("node", "shingles"), "node")
+    return dealt.groupBy("cluster", "row", "block").applyInArrow(seeker_stars(percent), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -320,49 +372,27 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     nodes = stored(rows.filter(F.col("mark").isNotNull()).groupBy("mark").agg(F.min("doc_id").alias("doc"), F.min("short").alias("short"), F.min("n").alias("n"))
                    .withColumn("node", F.monotonically_increasing_id()), "nodes")
     blocks = signature_blocks(texts, common_shingles(texts, count, words), max(1, 7 * (total or 0) // PART_BYTES), words, percent)
-    matches = stored(blocks.groupBy("part").applyInArrow(matched_groups, "kind int, a long, b long, met long"), "matches")
-
-    near = nodes.select("short", "node", "n")
-    named = lambda df, column, node, n: df.join(
-        near.select(F.col("short").alias(column), F.col("node").alias(node), F.col("n").alias(n)), column)
-    close = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
-    met = matches.filter(F.col("kind") == 0).groupBy("a", "b").agg(F.sum("met").alias("met"))
-    pairs = stored(named(named(met, "a", "x", "n1"), "b", "y", "n2").filter(close & (F.col("x") != F.col("y"))).select(
-        F.col("x").alias("a"), F.col("y").alias("b"), "met"), "pairs")
-    members = stored(named(matches.filter(F.col("kind") == 1).select(F.col("a").alias("group"), F.col("b").alias("short")).distinct(), "short", "node", "n1")
-                     .select("group", "node", F.col("n1").alias("n")).distinct(), "members")
-    wanted = stored(pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).unionAll(members.select(F.col("node").alias("key")))
-                    .distinct().join(nodes.select(F.col("node").alias("key"), "doc", F.col("mark").alias("want")), "key"), "wanted")
-    sets = stored(whole_sets(texts, wanted, words), "wholes")
-
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("met", -F.col("a"))).alias("a"))
-    links = verified(best, sets, percent)
-    reached = stored(smallest_reachable(links), "reached")
-    links = links.unionAll(verified(apart(pairs.join(best.select("a", "b"), ["a", "b"], "left_anti"), reached), sets, percent))
-    reached = stored(smallest_reachable(links), "reached")
-    links = stored(links.unionAll(verified(unmet_members(members, pairs, reached, percent), sets, percent)), "links")
+    met = blocks.groupBy("part").applyInArrow(matched_sets, "a long, b long")
+    clusters = smallest_reachable(met).select(F.col("node").alias("short"), F.col("component").alias("cluster"))
+    members = stored(nodes.join(clusters, "short"), "members")
+    sizes = stored(members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("node").alias("low"),
+                                                  F.max("node").alias("high"), F.sum("n").alias("held")), "clusters")
+    placed = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pivot = (F.col("blocks") > 1) & ((F.col("node") == F.col("low")) | (F.col("node") == F.col("high")))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block"))
+    places = F.when(pivot, F.concat(F.array(F.struct(F.col("block").alias("b"), F.lit(False).alias("p"))), F.transform(
+        others, lambda b: F.struct(b.alias("b"), F.lit(True).alias("p"))))).otherwise(F.array(F.struct(F.col("block").alias("b"), F.lit(False).alias("p"))))
+    wanted = stored(placed.select("node", "doc", F.col("mark").alias("want"), "cluster", "blocks", F.explode(places).alias("at")).select(
+        "node", "doc", "want", "cluster", F.col("at.b").alias("block"), "blocks", F.col("at.p").alias("pivot")), "wanted")
+    held = sizes.agg(F.sum("held")).first()[0] or 0
+    buckets = max(1, 8 * held // BUCKET_BYTES)
+    sets = whole_sets(texts, wanted, words).withColumn("bucket", F.pmod(F.xxhash64("cluster", "block"), F.lit(buckets)).cast("int"))
+    links = stored(sets.groupBy("bucket").applyInArrow(block_stars(percent), "a long, b long"), "stars")
+    large = wanted.filter(F.col("blocks") > 1)
+    if not large.isEmpty():
+        links = links.unionAll(stored(later_links(stored(whole_sets(texts, large.filter(~F.col("pivot")), words), "large"), links, percent), "later"))
     groups = nodes.join(smallest_reachable(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = groups.groupBy("component").agg(F.min("doc").alias("component_id"))
     answer = stored(groups.join(least, "component").select("mark", "component_id"), "answer")
     return rows.join(answer, "mark", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("mark").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-
-
-def apart(pairs: DataFrame, reached: DataFrame) -> DataFrame:
-    """Pairs whose ends are not yet connected."""
-    end = lambda node, root: reached.select(F.col("node").alias(node), F.col("component").alias(root))
-    return pairs.join(end("a", "ra"), "a", "left").join(end("b", "rb"), "b", "left").filter(
-        F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-
-
-def unmet_members(members: DataFrame, pairs: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a large group's members that are not connected and were not candidates before; groups that are connected drop out first."""
-    rooted = stored(members.join(reached, "node", "left").withColumn("root", F.coalesce("component", "node")).select("group", "node", "n", "root"), "rooted")
-    split = rooted.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(F.col("low") != F.col("high")).select("group")
-    left = stored(rooted.join(split, "group"), "split")
-    other = left.select("group", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("root").alias("r2"))
-    found = left.select("group", F.col("node").alias("a"), F.col("n").alias("n1"), F.col("root").alias("r1")).join(other, "group").filter(
-        (F.col("r1") < F.col("r2")) & (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return found.join(done, ["a", "b"], "left_anti")
