@@ -22,9 +22,8 @@ from ..functions.text import each
 from .nearest import _matrix
 
 STEP_ROWS = 512
-EXACT_DIMENSIONS = 512
 EXTRA_COLUMNS = 20
-POWER_PASSES = 5
+CONSTANT = 1e-12
 
 
 def long_form(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -74,7 +73,8 @@ def column_stats(df: DataFrame) -> dict[str, list[float]]:
 
 
 def _affine(df: DataFrame, shift: list[float], scale: list[float]) -> DataFrame:
-    low, factor = F.lit(shift), F.lit([0.0 if s == 0 else 1.0 / s for s in scale])
+    """A column whose scale is rounding residue of its values is constant and becomes 0."""
+    low, factor = F.lit(shift), F.lit([0.0 if s <= CONSTANT * max(abs(m), abs(m + s)) else 1.0 / s for m, s in zip(shift, scale)])
     return df.withColumn("vector", F.transform(
         "vector", lambda x, i: (x.cast("double") - F.get(low, i)) * F.get(factor, i)))
 
@@ -143,22 +143,37 @@ def _pass(df: DataFrame, dim: int, q: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[:, :-2], out[:, -2], out[:, -1]
 
 
-def fit_projection(df: DataFrame, dim: int, k: int, centre: bool = True, seed: int = V.SEED) -> Projection:
-    """Leading axes by subspace iteration (Halko, Martinsson and Tropp, 2011); one pass is exact for few features."""
+def fit_projection(df: DataFrame, dim: int, k: int, centre: bool = True, seed: int = V.SEED, tolerance: float = 1e-8) -> Projection:
+    """Leading axes by block Krylov iteration (Musco and Musco, 2015).
+
+    One rule for all sizes: a pass over the rows adds a block to the basis until every kept axis ``q`` fulfils ``|AᵀAq - qλ| <= tolerance * λ_max``, or
+    the basis spans everything the rows span, which is exact.
+    """
     n = df.count()
     k = max(1, min(k, dim, n))
-    width = dim if dim <= EXACT_DIMENSIONS else min(dim, k + EXTRA_COLUMNS)
-    q = np.eye(dim) if width == dim else np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, width)))[0]
-    for step in range(1 if width == dim else POWER_PASSES):
-        if step:
-            q = np.linalg.qr(z)[0]
-        z, sums, squares = _pass(df, dim, q)
+    fresh = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, min(dim, k + EXTRA_COLUMNS))))[0]
+    basis, images = np.zeros((dim, 0)), np.zeros((dim, 0))
+    while True:
+        z, sums, squares = _pass(df, dim, fresh)
         mean = sums / n
         if centre:
-            z = z - n * np.outer(mean, mean @ q)
-    values, turn = np.linalg.eigh((q.T @ z + z.T @ q) / 2)
-    lead = np.argsort(values)[::-1][:k]
-    axes = q @ turn[:, lead]
+            z = z - n * np.outer(mean, mean @ fresh)
+        basis, images = np.hstack([basis, fresh]), np.hstack([images, z])
+        small = basis.T @ images
+        values, turn = np.linalg.eigh((small + small.T) / 2)
+        lead = np.argsort(values)[::-1][:k]
+        axes = basis @ turn[:, lead]
+        top = max(abs(values[lead[0]]), np.finfo(float).tiny)
+        left = np.linalg.norm(images @ turn[:, lead] - axes * values[lead], axis=0).max()
+        if basis.shape[1] >= dim or left <= tolerance * top:
+            break
+        rest = z - basis @ (basis.T @ z)
+        rest -= basis @ (basis.T @ rest)
+        u, size, _ = np.linalg.svd(rest, full_matrices=False)
+        fresh = u[:, size > 1e-13 * top][:, :dim - basis.shape[1]]
+        if not fresh.shape[1]:
+            break
+        fresh = np.linalg.qr(fresh - basis @ (basis.T @ fresh))[0]
     flip = np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(len(lead))])
     axes = axes * np.where(flip == 0, 1, flip)
     total = (squares - n * mean * mean).sum()

@@ -17,7 +17,6 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -99,15 +98,32 @@ def linear_regression(train: DataFrame, label: str = "label") -> Model:
 
 
 def kernel_map(rows: DataFrame, kernel: str, gamma: float, components: int = 256, seed: int = V.SEED) -> DataFrame:
-    """Features whose dot product is, or approaches, the kernel: random Fourier (Rahimi and Recht, 2007) for ``rbf``."""
+    """Features whose dot product is, or approaches, the kernel.
+
+    Random Fourier features (Rahimi and Recht, 2007) for ``rbf``, a tensor sketch (Pham and Pagh, 2013) of degree 3 for ``poly``, ``(gamma x.z)^3``.
+    """
     if kernel == "linear":
         return rows
-    if kernel == "poly":
-        return PolynomialExpansion(degree=3, inputCol="features", outputCol="_f").transform(rows).drop("features").withColumnRenamed("_f", "features")
-    if kernel != "rbf":
+    if kernel not in ("rbf", "poly"):
         raise ValueError("kernel must be 'linear', 'rbf' or 'poly'")
     size = rows.select("features").head()["features"].size
     rng = np.random.default_rng(seed)
+    if kernel == "poly":
+        places = rng.integers(0, components, (3, size))
+        sketches = np.zeros((3, size, components))
+        for t in range(3):
+            sketches[t, np.arange(size), places[t]] = rng.choice([-1.0, 1.0], size) * math.sqrt(gamma)
+        held = rows.sparkSession.sparkContext.broadcast(sketches)
+
+        @F.pandas_udf("array<double>")
+        def sketch(x):
+            if not len(x):
+                return type(x)([])
+            rows_ = np.stack(x.to_list())
+            product_ = np.prod([np.fft.rfft(rows_ @ s, axis=1) for s in held.value], axis=0)
+            return type(x)(list(np.fft.irfft(product_, n=components, axis=1)))
+
+        return rows.withColumn("features", array_to_vector(sketch(vector_to_array("features"))))
     shared = rows.sparkSession.sparkContext.broadcast(
         (rng.standard_normal((size, components)) * math.sqrt(2 * gamma), rng.uniform(0, 2 * math.pi, components)))
 
@@ -135,16 +151,22 @@ def support_vectors(train: DataFrame, test: DataFrame, C: float = 1.0, gamma: st
                     class_weight: str | None = None, max_iter: int = 100) -> DataFrame:
     """``(id, y, p)`` from one linear machine per class on the kernel's features."""
     g = 0.0 if kernel == "linear" else gamma_value(train, gamma)
-    data = kernel_map(weighted(train, class_weight), kernel, g)
-    machine = LinearSVC(regParam=1.0 / (C * train.count()), maxIter=max_iter, weightCol="w")
+    held = weighted(train, class_weight)
+    data = kernel_map(held, kernel, g)
+    machine = margin_machine(held.agg(F.sum("w")).head()[0], C, max_iter)
     if int(train.agg(F.max("label")).head()[0]) < 2:
         return shown(machine.fit(data), kernel_map(test, kernel, g))
     return shown(OneVsRest(classifier=machine, weightCol="w", parallelism=4).fit(data), kernel_map(test, kernel, g))
 
 
+def margin_machine(total_weight: float, C: float, max_iter: int = 100) -> LinearSVC:
+    """Spark divides the losses by the weights' sum; features are penalised as they are."""
+    return LinearSVC(regParam=1.0 / (C * total_weight), maxIter=max_iter, weightCol="w", standardization=False)
+
+
 def margin_probability(train: DataFrame, test: DataFrame, C: float = 1.0) -> DataFrame:
     """``(id, y, p, probability)`` of a two-class linear machine, by a logistic fit on its margin (Platt scaling)."""
-    machine = LinearSVC(regParam=1.0 / (C * train.count())).fit(train)
+    machine = margin_machine(train.count(), C).fit(weighted(train, None))
 
     def margin(rows: DataFrame) -> DataFrame:
         raw = F.get(vector_to_array("rawPrediction"), F.lit(1))
@@ -242,6 +264,8 @@ def tune(name: str, folded: DataFrame, full: bool = False, fit_predict: Callable
     """``(model, params, cv_mean, cv_std, place)``: mean weighted f1 per parameter set, the best one first."""
     table = None
     for i, params in enumerate(grid((SEARCH if full else REDUCED)[name])):
+        if params.get("kernel") == "linear" and params.get("gamma", SEARCH["SVM"]["gamma"][0]) != SEARCH["SVM"]["gamma"][0]:
+            continue  # gamma has no part in a linear kernel
         chosen = (lambda train, rows, p=params: fit_predict(train, rows, p)) if fit_predict else None
         row = metrics.fold_summary(cross_validate(name, folded, params, chosen)).select(
             F.lit(name).alias("model"), F.lit(i).alias("order"), F.lit(repr(params)).alias("params"), "cv_mean", "cv_std")

@@ -39,17 +39,34 @@ def delete(current: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def update(current: DataFrame, changes: DataFrame) -> DataFrame:
-    """Replace only the parts that ``changes`` has a column and a value for; unknown ids are ignored."""
+    """Replace only the parts that ``changes`` has a column and a value for; unknown ids are ignored.
+
+    Changed rows can be long, so the join carries no hint.
+    """
     parts = [c for c in PARTS if c in changes.columns]
-    marked = small_side(changes.select("id", *[F.col(c).alias(f"_{c}") for c in parts]))
+    marked = changes.select("id", *[F.col(c).alias(f"_{c}") for c in parts])
     joined = current.join(marked, "id", "left")
     return joined.select(*[F.coalesce(f"_{c}", c).alias(c) if c in parts else F.col(c) for c in current.columns])
 
 
+def metadata_keys(where: dict, columns: list[str]) -> dict:
+    """Keys that are no column of the table name a field of its metadata."""
+    found = {}
+    for key, want in where.items():
+        if key in ("$and", "$or"):
+            found[key] = [metadata_keys(w, columns) for w in want]
+        else:
+            found[key if key.split(".")[0] in columns or "metadata" not in columns else f"metadata.{key}"] = want
+    return found
+
+
 def search(current: DataFrame, queries: DataFrame, k: int = V.TOP_K, metric: str = "l2",
            where: dict | None = None) -> DataFrame:
-    """The ``k`` nearest rows for each ``(id, vector)`` query; ``where`` filters before the ranking."""
-    rows = current.filter(nearest.where_clause(where)) if where else current
+    """The ``k`` nearest rows for each ``(id, vector)`` query; ``where`` filters before the ranking.
+
+    A key names a column or a field of the metadata. Rows whose value is null match no condition, ``$ne`` and ``$nin`` included.
+    """
+    rows = current.filter(nearest.where_clause(metadata_keys(where, current.columns))) if where else current
     return nearest.top_k(queries, rows.select("id", F.col("embedding").alias("vector")), k, metric)
 
 
@@ -67,7 +84,9 @@ class VectorTable:
         try:
             listed = self.spark.read.schema("version long").parquet(os.path.join(self.path, "versions"))
             return listed.agg(F.max("version")).head()[0]
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def _data(self, version: int) -> str:

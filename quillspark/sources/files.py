@@ -12,14 +12,15 @@ from ..functions.text import base_name, strip_markup
 REVIEW_SCHEMA = "row_id LONG, reviewText STRING, overall DOUBLE"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, missing: list[str] = V.CSV_MISSING) -> DataFrame:
-    """CSV with a header and quoted line breaks; every string in ``missing`` reads as null.
+def read_csv(spark: SparkSession, path: str, schema: str, missing: list[str] = V.CSV_MISSING, multi_line: bool = True) -> DataFrame:
+    """CSV with a header; every string in ``missing`` reads as null.
 
-    A quoted line break makes one file one split, so write many files (see :func:`write_csv`).
+    With ``multi_line`` values may hold quoted line breaks, and a file is one split: write many files (see :func:`write_csv`). Without it large
+    files are split, and a line with an open quote stops the read.
     """
     wanted = T.StructType.fromDDL(schema)
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])
-    rows = (spark.read.schema(raw).option("header", True).option("multiLine", True)
+    rows = (spark.read.schema(raw).option("header", True).option("multiLine", multi_line).option("mode", "PERMISSIVE" if multi_line else "FAILFAST")
             .option("quote", '"').option("escape", '"').option("nullValue", "").csv(path))
 
     def typed(field: T.StructField) -> Column:

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.numbering import rank_in_groups
+
+
+PAGE_BUCKET = 1 << 14
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -21,10 +26,12 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_docs(spark: SparkSession, folder: str) -> DataFrame:
-    """Page records. The twenty sources take turns in ``doc_id`` order, which gives the page without a sort."""
-    return texts(spark, folder).select(
-        F.col("doc_id").alias("row_id"), "source",
-        (F.floor(F.col("doc_id") / 20) + 1).cast("int").alias("page"), "lang", "text")
+    """Page records: a source's documents in order of ``doc_id`` are its pages. The texts are not moved by the numbering of their ids."""
+    docs = table(spark, folder, "documents")
+    ids = docs.select("doc_id", "source")
+    bucket = F.floor(F.col("doc_id") / PAGE_BUCKET)
+    pages = rank_in_groups(ids, ["source"], ["doc_id"], bucket, "page").select(F.col("doc_id").alias("_id"), F.col("page").cast("int").alias("page"))
+    return docs.join(pages, F.col("doc_id") == F.col("_id")).select(F.col("doc_id").alias("row_id"), "source", "page", "lang", "text")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

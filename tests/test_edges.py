@@ -143,12 +143,13 @@ def test_vocabulary_pruning_is_exact(spark):
 
 
 @pytest.mark.parametrize("centre", [True, False])
-@pytest.mark.parametrize("exact", [512, 0])
-def test_projection_matches_numpy(spark, monkeypatch, centre, exact):
-    monkeypatch.setattr(features, "EXACT_DIMENSIONS", exact)
-    x = np.random.default_rng(5).standard_normal((40, 8)) * np.arange(1, 9)[::-1] + 3
+@pytest.mark.parametrize("size", [8, 1200])
+def test_projection_matches_numpy(spark, centre, size):
+    rng = np.random.default_rng(5)
+    scale = np.arange(1, 9)[::-1] if size == 8 else 1.0 / np.arange(1, size + 1)
+    x = rng.standard_normal((40 if size == 8 else 90, size)) * scale + 3 / size
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, vector array<double>")
-    p = features.fit_projection(rows, 8, 3, centre)
+    p = features.fit_projection(rows, size, 3, centre)
     base = x - x.mean(axis=0) if centre else x
     _, _, vt = np.linalg.svd(base, full_matrices=False)
     assert np.allclose(np.abs(p.axes), np.abs(vt[:3].T), atol=1e-6)
@@ -157,6 +158,52 @@ def test_projection_matches_numpy(spark, monkeypatch, centre, exact):
     assert np.allclose(p.variance_ratio, got.var(axis=0) / x.var(axis=0).sum())
 
 
+def test_nearly_constant_feature(spark):
+    rows = spark.createDataFrame([(i, [0.1 + 0.2 if i % 2 else 0.3, float(i)]) for i in range(6)], "id int, vector array<double>")
+    assert all(abs(r["vector"][0]) < 1e-9 for r in features.minmax_scale(rows).collect() + features.standard_scale(rows).collect())
+
+
+def test_margin_machine_against_brute_force(spark):
+    """The weights minimise C * sum of hinge losses + |w|^2 / 2 on features as they are."""
+    from quillspark.operators import learners
+
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((60, 2)) * [5.0, 0.5]
+    y = (x @ [0.2, 2.0] + 0.3 * rng.standard_normal(60) > 0).astype(int)
+    rows = learners.weighted(learners.to_vectors(spark.createDataFrame(
+        [(i, int(c), v.tolist()) for i, (v, c) in enumerate(zip(x, y))], "id int, label int, vector array<double>")), None)
+    model = learners.margin_machine(60, 1.0, 400).fit(rows)
+    loss = lambda w, b: np.maximum(0, 1 - (2 * y - 1) * (x @ w + b)).sum() + w @ w / 2
+    w, b, best = np.zeros(2), 0.0, np.inf
+    for step in range(1, 40001):
+        live = (2 * y - 1) * (x @ w + b) < 1
+        g = w - ((2 * y - 1)[live, None] * x[live]).sum(axis=0)
+        w, b = w - g / (60 + step), b + (2 * y - 1)[live].sum() / (60 + step)
+        best = min(best, loss(w, b))
+    assert loss(model.coefficients.toArray(), model.intercept) <= 1.02 * best
+
+
+def test_polynomial_sketch_approaches_its_kernel(spark):
+    from quillspark.operators import learners
+    from pyspark.ml.functions import vector_to_array
+
+    x = np.random.default_rng(4).standard_normal((30, 6))
+    rows = learners.to_vectors(spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "id int, label int, vector array<double>"))
+    made = np.array([r[0] for r in learners.kernel_map(rows, "poly", 0.5, components=8192).orderBy("id").select(vector_to_array("features")).collect()])
+    want = (0.5 * x @ x.T) ** 3
+    assert np.abs(made @ made.T - want).mean() < 0.1 * np.abs(want).mean() + 0.05 * np.abs(want).max()
+
+
+def test_metadata_keys(spark):
+    from quillspark.operators import vector_table
+
+    rows = spark.createDataFrame([("a", "x", [1.0], ("s", 1, "o")), ("b", "y", [1.0], ("s", 2, "o")), ("c", "z", [1.0], ("t", None, "o"))], vector_table.SCHEMA)
+    asked = spark.createDataFrame([("q", [1.0])], "id string, vector array<float>")
+    found = lambda where: {r["item_id"] for r in vector_table.search(rows, asked, 5, where=where).collect()}
+    assert found({"page": {"$gte": 2}}) == {"b"} == found({"metadata.page": 2}) and found({"$or": [{"id": "a"}, {"source": "t"}]}) == {"a", "c"}
+    assert found({"page": {"$ne": 1}}) == {"b"}
+
+
 def test_constant_feature(spark):
     rows = spark.createDataFrame([(i % 2, [1.0, float(i)]) for i in range(6)], "label int, vector array<double>")
     assert {r["feature"]: r["f"] is None for r in features.f_scores(rows, "label").collect()} == {0: True, 1: False}
