@@ -9,10 +9,15 @@ leaves linked sets a common signature in a filled part.
 Shingles that are frequent in a bounded sample are first left out of the parts. Leaving out a fixed set of elements never makes two sets differ more, so
 no link is lost, whatever the sample; a set that is left with too many empty parts also has signatures of its whole self.
 
-Equal sets are one node. Sets that share a signature, directly or through others, form a cluster; links lie within clusters. Clusters are cut into blocks
-of bounded size. All sets of a block are compared with each other and with two pivots of the cluster, by products of incidence matrices. In clusters of
-several blocks, the sets outside the largest connected part then meet all blocks. Tasks give back a spanning star per block, never pairs, and sets move
-once for the first comparison.
+Equal sets are one node. A set knows how many filled signatures any partner must share with it: ``n - k`` less its own empty parts. Links are found in
+two steps. First, signature groups tie their members to their smallest; ties with enough common signatures form clusters, which are cut into blocks of
+bounded size. All sets of a block are compared with each other and with two pivots of the cluster, by products of incidence matrices. Tasks give back
+a spanning star per block, never pairs, and sets move once.
+
+Second, what the first step can have missed lies between its components: pairs of different components that share enough signatures. A signature group
+whose members are in one component, as those of copies are, has nothing left. In any other, the members outside its largest component (seekers) meet
+the rest: up to ``SEEKERS`` of them by counting the signatures of each pair, more by comparing blocks of the group. So every pair that can be linked is
+either compared or already connected.
 
 Edge cases: a null or empty text, or one of white space, has no shingles and links with nothing. With fewer words than a shingle needs, the whole
 text is one shingle. Rows with a null id take part; ``component_id`` is the smallest id that is not null, if there is one. Repeated rows are linked
@@ -29,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import smallest_reachable
 from .shared import as_table, small_batches, stored
@@ -41,6 +47,7 @@ COLUMNS = 8_192
 BUCKET_BYTES = 4 << 20
 SAMPLE_DOCS = 4_000
 COMMON = 0.005
+SEEKERS = 64
 PART_BYTES = 12 << 20
 LOW48 = np.uint64((1 << 48) - 1)
 ODD = [np.uint64((0xD6E8FEB86659FD93 * (2 * j + 1) ** 3 + 2 * j) % (1 << 64) | 1) for j in range(16)]
@@ -87,19 +94,20 @@ def short_id(mark: bytes) -> int:
     return int.from_bytes(mark[:6], "little")
 
 
-def counted_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n, mark, short`` per row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("mark", pa.binary()), ("short", pa.int64())])
+def counted_sets(docs: DataFrame, common: np.ndarray, words: int, percent: int) -> DataFrame:
+    """``doc_id, n, mark, short, need`` per row."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("mark", pa.binary()), ("short", pa.int64()), ("need", pa.int64())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, bands, usual = WordHashes(), Bands(percent), Common(shared.value)
         for batch in small_batches(batches, "text", BATCH):
             sets = shingle_sets(batch.column("text").to_pylist(), known, words)
             marks = [mark_of(s) for s in sets]
             yield as_table({"doc_id": batch.column("doc_id"), "n": [len(s) for s in sets], "mark": marks,
-                            "short": [m and short_id(m) for m in marks]}, schema)
+                            "short": [m and short_id(m) for m in marks], "need": [needed(s, bands, usual) if len(s) else None for s in sets]}, schema)
 
-    return docs.mapInArrow(rows, "doc_id long, n long, mark binary, short long")
+    return docs.mapInArrow(rows, "doc_id long, n long, mark binary, short long, need long")
 
 
 def common_shingles(docs: DataFrame, rows: int, words: int) -> np.ndarray:
@@ -178,6 +186,19 @@ def signatures(shingles: np.ndarray, bands: Bands, common: Common) -> np.ndarray
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+def needed(shingles: np.ndarray, bands: Bands, common: Common) -> int:
+    """The fewest signatures that this set shares with a linked set, whichever of its two bands they meet in."""
+    own = bands.of(len(shingles))
+    part_hash, least = common.outside(shingles), []
+    for band in (own, own + 1):
+        k = bands.differing(band)
+        if k:
+            n = k + 1 + k // 8
+            filled = np.count_nonzero(np.diff(part_of(part_hash, n), prepend=-1))
+            least.append(max(1, n - k - (n - filled)))
+    return min(least, default=1)
+
+
 def part_of(shingles: np.ndarray, n: int) -> np.ndarray:
     return (((shingles >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
@@ -233,8 +254,12 @@ def signature_blocks(docs: DataFrame, common: np.ndarray, parts_count: int, word
     return docs.mapInArrow(rows, "part int, entries binary")
 
 
+PAIR, STAR, GROUP = 0, 1, 2
+
+
 def matched_sets(table: pa.Table) -> pa.Table:
-    """Sets of one part that share a signature, each tied to the first of its signature group: distinct pairs ``a``, ``b``."""
+    """What the signatures of one part say, as ``kind, a, b, c``: ``c`` signatures that only the sets ``a`` and ``b`` have (``PAIR``), that tie ``b`` to
+    the smallest set ``a`` of a larger group (``STAR``), or that set ``b`` has as a member of the group ``a`` (``GROUP``), named by its members."""
     packed = np.frombuffer(b"".join(table.column("entries").to_pylist()), dtype="<u4").reshape(-1, 3)
     high = packed[:, 2].astype(np.uint64)
     sig = packed[:, 0].astype(np.uint64) | ((high & np.uint64(0xFFFF)) << np.uint64(32))
@@ -248,17 +273,40 @@ def matched_sets(table: pa.Table) -> pa.Table:
     sig, who = sig[shared], who[shared]
     order = np.lexsort((who, sig))
     sig, who = sig[order], who[order]
-    starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, np.int64)
-    first = np.repeat(who[starts], np.diff(np.append(starts, len(sig))))
-    pairs = np.unique(np.stack([first, who], axis=1)[first != who], axis=0) if len(sig) else np.zeros((0, 2), np.uint64)
-    return pa.table({"a": pa.array(pairs[:, 0].astype(np.int64), pa.int64()), "b": pa.array(pairs[:, 1].astype(np.int64), pa.int64())})
+    fresh = np.ones(len(sig), dtype=bool)
+    fresh[1:] = (sig[1:] != sig[:-1]) | (who[1:] != who[:-1])
+    sig, who = sig[fresh], who[fresh]
+    if not len(sig):
+        return matches([])
+    starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+    sizes = np.diff(np.append(starts, len(sig)))
+    names = mixed(np.add.reduceat(mixed(who), starts) + sizes.astype(np.uint64)) >> np.uint64(1)
+    first, name, size = np.repeat(who[starts], sizes), np.repeat(names, sizes), np.repeat(sizes, sizes)
+    later = first != who
+    found = []
+    for kind, left, keep in ((PAIR, first, (size == 2) & later), (STAR, first, (size > 2) & later), (GROUP, name, size > 2)):
+        pairs, counts = counted_pairs(left[keep], who[keep])
+        found.append((kind, pairs, counts))
+    return matches(found)
+
+
+def counted_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((right, left))
+    pairs = np.stack([left[order], right[order]], axis=1)
+    starts = np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]).any(axis=1))) if len(pairs) else np.zeros(0, np.int64)
+    return pairs[starts], np.diff(np.append(starts, len(pairs)))
+
+
+def matches(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
+    kinds = np.concatenate([np.full(len(c), k, np.int32) for k, _, c in found]) if found else []
+    pairs = np.concatenate([p for _, p, _ in found]).astype(np.int64) if found else np.zeros((0, 2), np.int64)
+    return pa.table({"kind": pa.array(kinds, pa.int32()), "a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64()),
+                     "c": pa.array(np.concatenate([c for _, _, c in found]) if found else [], pa.int64())})
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """The wanted rows (``node, doc, want, cluster, block, blocks, pivot``; ``doc`` and ``want`` being id and mark) with ``shingles``."""
-    names = ["node", "cluster", "block", "blocks", "pivot"]
-    schema = pa.schema([("node", pa.int64()), ("cluster", pa.int64()), ("block", pa.int32()), ("blocks", pa.int32()), ("pivot", pa.bool_()),
-                        ("shingles", pa.binary())])
+    """The rows of ``wanted`` with ``shingles`` in place of ``doc`` and ``want``, the id and mark of a row to take them from."""
+    names = [n for n in wanted.columns if n not in ("doc", "want")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -266,10 +314,11 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             sets = shingle_sets(batch.column("text").to_pylist(), known, words)
             keep = [i for i, (s, m) in enumerate(zip(sets, batch.column("want").to_pylist())) if mark_of(s) == m]
             part = batch.take(pa.array(keep, pa.int64()))
-            yield as_table({n: part.column(n) for n in names} | {"shingles": [sets[i].tobytes() for i in keep]}, schema)
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array([sets[i].tobytes() for i in keep], pa.binary())], [*names, "shingles"])
 
-    met = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("doc")))
-    return met.select(*names, "want", "text").mapInArrow(rows, "node long, cluster long, block int, blocks int, pivot boolean, shingles binary")
+    met = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("doc"))).select(*names, "want", "text")
+    schema = T.StructType([*(f for f in wanted.schema if f.name in names), T.StructField("shingles", T.BinaryType())])
+    return met.mapInArrow(rows, schema)
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -347,51 +396,113 @@ def seeker_stars(percent: int):
     return rows
 
 
-def later_links(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Links of clusters of several blocks between the sets outside the largest connected part and all blocks. ``sets`` are those clusters' sets."""
-    own = sets.filter(~F.col("pivot"))
-    rooted = stored(own.select("cluster", "node", "block", "blocks").join(smallest_reachable(links), "node", "left").select(
-        "cluster", "node", "block", "blocks", F.coalesce("component", "node").alias("root")), "rooted")
-    parts = rooted.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"))
-    largest = stored(parts.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), (F.sum("n") - F.max("n")).alias("seekers"))
-                     .filter(F.col("seekers") > 0).withColumn("rows", F.ceil(F.col("seekers") / BLOCK).cast("int")), "largest")
-    left = rooted.join(largest, "cluster").filter(F.col("root") != F.col("largest")).select(
-        "node", "cluster", "blocks", F.pmod(F.xxhash64("node", F.lit(2)), F.col("rows")).cast("int").alias("row"))
+def pair_links(percent: int):
+    """The links among the pairs of one bucket; a set's row lists its partners there."""
+    def rows(table: pa.Table) -> pa.Table:
+        nodes, raw = table.column("node").to_pylist(), table.column("shingles").to_pylist()
+        sets = {n: np.frombuffer(x, np.uint64) for n, x in zip(nodes, raw)}
+        a, b = [], []
+        for node, partners in zip(nodes, table.column("partners").to_pylist()):
+            for other in partners:
+                x, y = sets[node], sets[other]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both and 100 * both >= percent * (len(x) + len(y) - both):
+                    a.append(node)
+                    b.append(other)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows
+
+
+def compared_pairs(texts: DataFrame, pairs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """The links among distinct ``pairs`` (``a``, ``b``). The partners of a set are dealt to buckets, a set moves once to each bucket that needs it."""
+    pairs = stored(pairs.select("a", "b"), "pairs")
+    buckets = max(1, pairs.count() // 256)
+    dealt = stored(pairs.withColumn("bucket", F.pmod(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(max(1, buckets // 16)))), F.lit(buckets)).cast("int")), "dealt")
+    none = F.lit(None).cast("long")
+    ends = dealt.select("bucket", F.col("a").alias("node"), F.col("b").alias("partner")).unionAll(dealt.select("bucket", F.col("b").alias("node"), none.alias("partner")))
+    wanted = ends.groupBy("bucket", "node").agg(F.collect_list("partner").alias("partners")).join(nodes.select("node", "doc", F.col("mark").alias("want")), "node")
+    return whole_sets(texts, stored(wanted, "wanted"), words).groupBy("bucket").applyInArrow(pair_links(percent), "a long, b long")
+
+
+def later_links(texts: DataFrame, matched: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between different components. ``nodes`` has ``node, short, n, need, component, doc, mark`` per set."""
+    told = nodes.select("node", "short", "n", "need", F.col("component").alias("root"))
+    groups = matched.filter(F.col("kind") == GROUP).groupBy(F.col("a").alias("group"), F.col("b").alias("short")).agg(F.sum("c").alias("c"))
+    members = stored(groups.join(told, "short"), "members")
+    roots = members.groupBy("group", "root").agg(F.count(F.lit(1)).alias("m"))
+    open_groups = stored(roots.groupBy("group").agg(F.max_by("root", F.struct("m", "root")).alias("largest"), F.sum("m").alias("members"), (F.sum("m") - F.max("m")).alias("seekers"))
+                         .filter(F.col("seekers") > 0), "groups")
+    met = stored(members.join(open_groups, "group"), "open").withColumn("seeks", F.col("root") != F.col("largest"))
+
+    few = met.filter(F.col("seekers") <= SEEKERS)
+    left = few.filter("seeks").select("group", "c", *[F.col(x).alias(f"{x}_a") for x in ("node", "n", "need", "root")])
+    right = few.select("group", "seeks", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "need", "root")])
+    cross = left.join(right, "group").filter(~F.col("seeks") | (F.col("node_a") < F.col("node_b")))
+    ends = [told.select(*[F.col(x).alias(f"{x}_{e}") for x in told.columns]) for e in "ab"]
+    only = matched.filter(F.col("kind") == PAIR).groupBy(F.col("a").alias("short_a"), F.col("b").alias("short_b")).agg(F.sum("c").alias("c"))
+    only = only.join(ends[0], "short_a").join(ends[1], "short_b")
+    low, high = F.least("node_a", "node_b"), F.greatest("node_a", "node_b")
+    close = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    pairs = [t.filter((F.col("root_a") != F.col("root_b")) & close).select(low.alias("a"), high.alias("b"), "c", F.greatest("need_a", "need_b").alias("need")) for t in (cross, only)]
+    enough = pairs[0].unionByName(pairs[1]).groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("need").alias("need")).filter(F.col("c") >= F.col("need"))
+    links = compared_pairs(texts, enough, nodes, words, percent)
+
+    many = met.filter(F.col("seekers") > SEEKERS).withColumn("rows", F.ceil(F.col("seekers") / BLOCK).cast("int")).withColumn(
+        "blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    if many.isEmpty():
+        return links
+    place = lambda seed, n: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    seeks = left.select("node", "cluster", "row", spread("blocks").alias("block"), F.lit(True).alias("seeks"))
-    met = rooted.join(largest.select("cluster", "rows"), "cluster").select("node", "cluster", spread("rows").alias("row"), "block", F.lit(False).alias("seeks"))
-    dealt = stored(seeks.unionByName(met), "dealt").join(own.select("node", "shingles"), "node")
-    return dealt.groupBy("cluster", "row", "block").applyInArrow(seeker_stars(percent), "a long, b long")
+    seeking = many.filter("seeks").select("node", "group", place(2, "rows").alias("row"), spread("blocks").alias("block"), "seeks")
+    sought = many.select("node", "group", spread("rows").alias("row"), place(3, "blocks").alias("block"), F.lit(False).alias("seeks"))
+    wanted = stored(seeking.unionByName(sought).join(nodes.select("node", "doc", F.col("mark").alias("want")), "node"), "sought")
+    return links.unionAll(whole_sets(texts, wanted, words).groupBy("group", "row", "block").applyInArrow(seeker_stars(percent), "a long, b long"))
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row; documents link when ``100 * intersection >= percent * union``."""
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    rows = stored(counted_sets(texts, words), "sets")
-    total, count = rows.agg(F.sum("n"), F.count(F.lit(1))).first()
-    nodes = stored(rows.filter(F.col("mark").isNotNull()).groupBy("mark").agg(F.min("doc_id").alias("doc"), F.min("short").alias("short"), F.min("n").alias("n"))
-                   .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    blocks = signature_blocks(texts, common_shingles(texts, count, words), max(1, 7 * (total or 0) // PART_BYTES), words, percent)
-    met = blocks.groupBy("part").applyInArrow(matched_sets, "a long, b long")
-    clusters = smallest_reachable(met).select(F.col("node").alias("short"), F.col("component").alias("cluster"))
-    members = stored(nodes.join(clusters, "short"), "members")
+def clusters_of(matched: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``short, cluster`` of the sets that are tied to another by as many signatures as a link needs."""
+    need = nodes.groupBy("short").agg(F.min("need").alias("need"))
+    ties = matched.filter(F.col("kind") != GROUP).groupBy("a", "b").agg(F.sum("c").alias("c"))
+    for end in "ab":
+        ties = ties.join(need.select(F.col("short").alias(end), F.col("need").alias(f"need_{end}")), end)
+    enough = ties.filter(F.col("c") >= F.greatest("need_a", "need_b")).select("a", "b")
+    return smallest_reachable(enough).select(F.col("node").alias("short"), F.col("component").alias("cluster"))
+
+
+def block_links(texts: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """Spanning stars of the links inside the blocks of each cluster and with its pivots. ``members`` has ``node, doc, mark, n, cluster`` per set."""
     sizes = stored(members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("node").alias("low"),
                                                   F.max("node").alias("high"), F.sum("n").alias("held")), "clusters")
     placed = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    pivot = (F.col("blocks") > 1) & ((F.col("node") == F.col("low")) | (F.col("node") == F.col("high")))
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block"))
-    places = F.when(pivot, F.concat(F.array(F.struct(F.col("block").alias("b"), F.lit(False).alias("p"))), F.transform(
-        others, lambda b: F.struct(b.alias("b"), F.lit(True).alias("p"))))).otherwise(F.array(F.struct(F.col("block").alias("b"), F.lit(False).alias("p"))))
-    wanted = stored(placed.select("node", "doc", F.col("mark").alias("want"), "cluster", "blocks", F.explode(places).alias("at")).select(
-        "node", "doc", "want", "cluster", F.col("at.b").alias("block"), "blocks", F.col("at.p").alias("pivot")), "wanted")
+    pivot = (F.col("node") == F.col("low")) | (F.col("node") == F.col("high"))
+    places = F.when((F.col("blocks") > 1) & pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+    wanted = stored(placed.select("node", "doc", F.col("mark").alias("want"), "cluster", F.explode(places).alias("block")), "wanted")
     held = sizes.agg(F.sum("held")).first()[0] or 0
     buckets = max(1, 8 * held // BUCKET_BYTES)
     sets = whole_sets(texts, wanted, words).withColumn("bucket", F.pmod(F.xxhash64("cluster", "block"), F.lit(buckets)).cast("int"))
-    links = stored(sets.groupBy("bucket").applyInArrow(block_stars(percent), "a long, b long"), "stars")
-    large = wanted.filter(F.col("blocks") > 1)
-    if not large.isEmpty():
-        links = links.unionAll(stored(later_links(stored(whole_sets(texts, large.filter(~F.col("pivot")), words), "large"), links, percent), "later"))
-    groups = nodes.join(smallest_reachable(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return sets.groupBy("bucket").applyInArrow(block_stars(percent), "a long, b long")
+
+
+def with_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    return nodes.join(smallest_reachable(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row; documents link when ``100 * intersection >= percent * union``."""
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    common = common_shingles(texts, texts.count(), words)
+    rows = stored(counted_sets(texts, common, words, percent), "sets")
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    nodes = stored(rows.filter(F.col("mark").isNotNull()).groupBy("mark").agg(F.min("doc_id").alias("doc"), *[F.min(x).alias(x) for x in ("short", "n", "need")])
+                   .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    blocks = signature_blocks(texts, common, max(1, 7 * total // PART_BYTES), words, percent)
+    matched = stored(blocks.groupBy("part").applyInArrow(matched_sets, "kind int, a long, b long, c long"), "matched")
+    members = stored(nodes.join(clusters_of(matched, nodes), "short"), "members")
+    first = stored(block_links(texts, members, words, percent), "stars")
+    met = stored(with_components(nodes, first), "met")
+    later = stored(later_links(texts, matched, met, words, percent), "later")
+    groups = with_components(nodes, first.unionAll(later))
     least = groups.groupBy("component").agg(F.min("doc").alias("component_id"))
     answer = stored(groups.join(least, "component").select("mark", "component_id"), "answer")
     return rows.join(answer, "mark", "left").select(

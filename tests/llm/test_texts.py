@@ -218,9 +218,10 @@ def components(n, links):
     return [top(i) for i in range(n)]
 
 
-@pytest.mark.parametrize(("common", "block"), [(0.005, 512), (0.3, 4)])
-def test_jaccard_components(spark, monkeypatch, common, block):
+@pytest.mark.parametrize(("common", "block", "seekers"), [(0.005, 512, 64), (0.3, 4, 64), (0.3, 4, 1), (1.1, 2, 0)])
+def test_jaccard_components(spark, monkeypatch, common, block, seekers):
     monkeypatch.setattr(shingle_join, "COMMON", common)
+    monkeypatch.setattr(shingle_join, "SEEKERS", seekers)
     monkeypatch.setattr(shingle_join, "BLOCK", block)
     rng = random.Random(9)
     vocabulary = ["w%d" % i for i in range(400)]
