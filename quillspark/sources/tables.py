@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.numbering import rank_in_groups
-
+from ..session import small_side
 
 PAGE_BUCKET = 1 << 14
 
@@ -26,12 +26,17 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_docs(spark: SparkSession, folder: str) -> DataFrame:
-    """Page records: a source's documents in order of ``doc_id`` are its pages. The texts are not moved by the numbering of their ids."""
-    docs = table(spark, folder, "documents")
-    ids = docs.select("doc_id", "source")
-    bucket = F.floor(F.col("doc_id") / PAGE_BUCKET)
-    pages = rank_in_groups(ids, ["source"], ["doc_id"], bucket, "page").select(F.col("doc_id").alias("_id"), F.col("page").cast("int").alias("page"))
-    return docs.join(pages, F.col("doc_id") == F.col("_id")).select(F.col("doc_id").alias("row_id"), "source", "page", "lang", "text")
+    """Page records: a source's documents in order of ``doc_id`` are its pages, null ids last.
+
+    Only ids are numbered. A row is known by its file and its place there, so null and repeated ids keep their rows. Up to ``BROADCAST_ROWS`` numbers go
+    to the texts by broadcast; beyond that each text is shuffled once, which a collection avoids by storing the page when it is ingested.
+    """
+    docs = table(spark, folder, "documents").withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    bucket = F.coalesce(F.floor(F.col("doc_id") / PAGE_BUCKET), F.lit((1 << 63) - 1))
+    ids = docs.select("_file", "_row", "doc_id", "source")
+    pages = rank_in_groups(ids, ["source"], [F.asc_nulls_last("doc_id"), "_file", "_row"], bucket, "page").select("_file", "_row", F.col("page").cast("int").alias("page"))
+    met = spread(docs, "doc_id").join(small_side(pages), ["_file", "_row"])
+    return met.select(F.col("doc_id").alias("row_id"), "source", "page", "lang", "text")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

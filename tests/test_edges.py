@@ -13,7 +13,7 @@ from quillspark.operators import words as WD
 from quillspark.operators.vector_table import VectorTable
 from quillspark.plans import books
 from quillspark.session import scratch_path
-from quillspark.sources import artefacts
+from quillspark.sources import artefacts, tables
 
 
 def one(spark, text, fn):
@@ -282,3 +282,13 @@ def test_bad_names(spark):
             books.feature_rows(rows, **wrong)
     with pytest.raises(ValueError):
         classify.NaiveBayes(3, alpha=0)
+
+
+def test_page_docs_keeps_null_and_repeated_ids(spark, tmp_path):
+    rows = [(1, "a", "x"), (1, "b", "x"), (None, "c", "x"), (2, "d", "x"), (0, "e", None), (None, "f", None)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["row_id"], r["text"], r["source"]): r["page"] for r in tables.page_docs(spark, str(tmp_path)).collect()}
+    assert set(got) == set(rows)
+    assert {got[1, "a", "x"], got[1, "b", "x"]} == {1, 2} and got[2, "d", "x"] == 3 and got[None, "c", "x"] == 4
+    assert got[0, "e", None] == 1 and got[None, "f", None] == 2

@@ -2,7 +2,6 @@
 
 import pytest
 from compare import differences, duck
-from conftest import FOLDER
 
 from quillspark.plans.catalog import QUERIES, SQL
 
@@ -11,13 +10,13 @@ SLOW = {"cv_scores", "model_leaderboard", "best_model", "csv_scan", "confusion_m
 
 
 @pytest.fixture(scope="module")
-def con():
-    return duck(FOLDER)
+def con(folder):
+    return duck(folder)
 
 
 @pytest.mark.parametrize("name", [n for n in SQL if n not in SLOW])
-def test_same_rows(spark, con, name):
-    assert differences(QUERIES[name](spark, FOLDER).toPandas(), con.execute(SQL[name]).df()) is None
+def test_same_rows(spark, con, folder, name):
+    assert differences(QUERIES[name](spark, folder).toPandas(), con.execute(SQL[name]).df()) is None
 
 
 def test_every_sql_has_a_query():
