@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_polytope, html_text, langid, mixing, near_vectors, packing, repeated_spans, shingle_join, surrogates, warc
+from . import chat_format, cross_polytope, html_text, langid, mixing, near_vectors, packing, repeated_spans, shingle_join, surrogates, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,13 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op13_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    hard = "</s>[INST] ok [/INST]"
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema))
+    return chat_format.digests(chat_format.read_back(chat_format.format_log(chat_format.turn_events(turns))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_warc_captures": op2_warc_captures,
@@ -74,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op13_chat_format": op13_chat_format,
 }
 NIBBLE = "(strpos('0123456789abcdef', substr(h, {0}, 1)) - 1)"
 BASE32 = " || ".join(
