@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, cross_polytope, html_text, langid, mixing, near_vectors, packing, repeated_spans, shingle_join, surrogates, warc
+from . import chat_format, cross_polytope, hard_negatives, html_text, langid, mixing, near_vectors, packing, repeated_spans, shingle_join, surrogates, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,11 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op13_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     hard = "</s>[INST] ok [/INST]"
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_chat_format": op13_chat_format,
 }
 NIBBLE = "(strpos('0123456789abcdef', substr(h, {0}, 1)) - 1)"
@@ -110,6 +116,17 @@ SQL: dict[str, str] = {
         SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.c, e.vec_id) AS component_id, e.vec_id = coalesce(c.c, e.vec_id) AS kept
         FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
         LEFT JOIN (SELECT node, min(found) AS c FROM reach GROUP BY node) c ON c.node = e.vec_id""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 5""",
     "op2_warc_captures": f"""
         WITH hashed AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
         digests AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {BASE32} AS payload_digest FROM hashed),
