@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, cross_polytope, hard_negatives, html_text, langid, mixing, near_vectors, packing, repeated_spans, shingle_join, surrogates, warc
+from . import chat_format, cross_polytope, hard_negatives, html_text, langid, mixing, near_vectors, packing, repeated_spans, shingle_join, spelling_variants, surrogates, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, folder, "documents"), damage=199)
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, folder, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
@@ -86,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_chat_format": op13_chat_format,
 }

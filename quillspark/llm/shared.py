@@ -28,6 +28,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As :func:`stored`, with the path, for :func:`forget`."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a stored table whose last reader has ended."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def arrow_rows(df: DataFrame, schema: T.StructType | str, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     return df.mapInArrow(rows, schema)
 
