@@ -1,21 +1,27 @@
 """N-gram vocabularies, TF-IDF and count features.
 
-Terms are counted inside each row, so the only shuffle of the vocabulary job is the per-term
-total, and it is combined map-side first. The vocabulary is capped by ``max_features``, which
-bounds what is collected and broadcast.
+Terms are counted inside tasks, batch by batch, on Arrow arrays of token codes, so the only shuffle of the vocabulary job is the per-term
+total, and it is combined map-side first. A row's weights are made in its own task: no row is exploded, joined or gathered again. The vocabulary is
+capped by ``max_features``, which bounds what is collected and broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
 
 MAX_VOCABULARY = 100_000
-CONSTANT_TERMS = 20_000
+POOL = 200_000
+STEP_TOKENS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -64,84 +70,167 @@ class Vocabulary:
         return base.withColumn("idf", F.log((1.0 + self.n_docs) / (1.0 + F.col("df"))) + 1.0)
 
 
-def _constants(terms: list[str]) -> str:
-    """A constant set for ``IN``, looked up by hash. Terms hold letters, digits, underscores and spaces only."""
-    return ", ".join(f"'{t}'" for t in terms) or "NULL"
+def steps(batch: pa.RecordBatch, column: str, most: int = STEP_TOKENS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, pa.Array]]:
+    """Slices of a batch with about ``most`` list entries each, with the row of each entry and the entries."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+        part = batch.slice(start, stop - start)
+        yield part, np.repeat(np.arange(stop - start), sizes[start:stop]), part.column(column).flatten()
+        start = stop
 
 
-def term_counts(df: DataFrame, text: str, spec: VectorizerSpec, only: list[str] | None = None,
-                pool: list[str] | None = None) -> DataFrame:
-    """Add ``counts``: the ``(term, tf)`` pairs of each row; of the terms in ``only``, or made of words in ``pool``."""
-    df = df.withColumn("_tokens", X.feature_tokens(F.col(text)))
-    if pool is not None:
-        df = df.withColumn("_tokens", F.expr(f"transform(_tokens, t -> CASE WHEN t IN ({_constants(pool)}) THEN t END)"))
-    df = X.with_ngrams(df, "_tokens", "_grams", spec.low, spec.high)
-    if only is not None:
-        df = df.withColumn("_grams", F.expr(f"filter(_grams, g -> g IN ({_constants(only)}))"))
-    return X.with_term_counts(df, "_grams", "counts").drop("_tokens", "_grams")
+def _following(rows: np.ndarray, at: np.ndarray, ahead: int) -> np.ndarray:
+    """Which entries ``at`` have an entry of the same row ``ahead`` places on."""
+    last = len(rows) - ahead
+    return (at < last) & (rows[np.minimum(at + ahead, len(rows) - 1)] == rows[at])
 
 
 def _totals(df: DataFrame, text: str, spec: VectorizerSpec, pool: list[str] | None = None) -> DataFrame:
-    pairs = X.each(term_counts(df, text, spec, pool=pool), [], F.col("counts"), "c")
-    return pairs.groupBy(F.col("c.term").alias("term")).agg(F.sum("c.tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+    """``term, tf, df`` of every n-gram (of words in ``pool``, if given); a row with a null term counts the texts as ``tf``."""
+    shared = df.sparkSession.sparkContext.broadcast(pa.array(pool, pa.string())) if pool is not None else None
+    schema = pa.schema([("term", pa.string()), ("tf", pa.int64()), ("df", pa.int64())])
+
+    def counted(terms: pa.Array, code: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+        tf = np.bincount(code, minlength=len(terms))
+        once = np.unique(rows * max(len(terms), 1) + code) % max(len(terms), 1)
+        return pa.RecordBatch.from_arrays([terms, pa.array(tf), pa.array(np.bincount(once, minlength=len(terms)))], schema=schema)
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        for batch in batches:
+            n += batch.num_rows
+            for _, rows, tokens in steps(batch, "tokens"):
+                coded = tokens.cast(pa.string()).dictionary_encode()
+                words, word = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                known = np.ones(len(words), dtype=bool) if shared is None else pc.is_in(words, value_set=shared.value).to_numpy(zero_copy_only=False)
+                at = np.nonzero(known[word])[0]
+                code, names = word[at], words
+                for n_words in range(1, spec.high + 1):
+                    if n_words > 1:
+                        on = _following(rows, at, n_words - 1)
+                        on[on] = known[word[at[on] + n_words - 1]]
+                        at, pair = at[on], code[on] * len(words) + word[at[on] + n_words - 1]
+                        keys, code = np.unique(pair, return_inverse=True)
+                        names = pc.binary_join_element_wise(names.take(pa.array(keys // max(len(words), 1))), words.take(pa.array(keys % max(len(words), 1))), " ")
+                    if n_words >= spec.low and len(at):
+                        made = counted(names, code, rows[at])
+                        yield made.filter(pc.greater(made.column("tf"), 0))
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.array([n]), pa.array([0])], schema=schema)
+
+    found = df.select(X.feature_tokens(F.col(text)).alias("tokens")).mapInArrow(totals, "term string, tf long, df long")
+    return found.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
 
 
 def _within(totals: DataFrame, spec: VectorizerSpec, n_docs: int) -> DataFrame:
-    return totals.filter((F.col("df") >= spec.min_df) & (F.col("df") <= spec.max_df * n_docs))
+    return totals.filter(F.col("term").isNotNull() & (F.col("df") >= spec.min_df) & (F.col("df") <= spec.max_df * n_docs))
 
 
-def _frequent_words(df: DataFrame, text: str, spec: VectorizerSpec, n_docs: int) -> list[str] | None:
-    """The words that chosen n-grams can be made of, or None if they are too many to be constants.
+def _size(totals: DataFrame) -> int:
+    return totals.filter("term IS NULL").agg(F.sum("tf")).first()[0] or 0
+
+
+def _frequent_words(singles: DataFrame, spec: VectorizerSpec, n_docs: int) -> list[str] | None:
+    """The words that chosen n-grams can be made of, or None if they are too many to send around.
 
     An n-gram is never more frequent than its rarest word. If ``max_features`` single words are allowed, the count of
     the last of them is a floor for every chosen term, so n-grams with a word below it need not be counted at all.
     """
-    singles = _totals(df, text, replace(spec, high=1)).persist()
     ranked = _within(singles, spec, n_docs).orderBy(F.desc("tf")).select("tf").limit(spec.max_features).collect()
     floor = ranked[-1]["tf"] if len(ranked) == spec.max_features else max(spec.min_df, 1)
-    words = singles.filter(F.col("tf") >= floor).select("term").limit(CONSTANT_TERMS + 1).collect()
-    singles.unpersist()
-    return [r["term"] for r in words] if len(words) <= CONSTANT_TERMS else None
+    words = singles.filter((F.col("tf") >= floor) & F.col("term").isNotNull()).select("term").limit(POOL + 1).collect()
+    return [r["term"] for r in words] if len(words) <= POOL else None
 
 
 def fit(df: DataFrame, text: str, spec: VectorizerSpec) -> Vocabulary:
     """Terms within the document-frequency limits, then the most frequent ``max_features`` of them."""
-    n_docs = df.count()
-    pool = _frequent_words(df, text, spec, n_docs) if spec.low == 1 and spec.high > 1 else None
-    allowed = _within(_totals(df, text, spec, pool), spec, n_docs)
-    top = allowed.orderBy(F.desc("tf"), "term").limit(spec.max_features).collect()
+    totals = _totals(df, text, replace(spec, high=spec.low)).persist()
+    n_docs = _size(totals)
+    if spec.high > spec.low:
+        pool = _frequent_words(totals, spec, n_docs) if spec.low == 1 else None
+        totals.unpersist()
+        totals = _totals(df, text, spec, pool).persist()
+    top = _within(totals, spec, n_docs).orderBy(F.desc("tf"), "term").limit(spec.max_features).collect()
+    totals.unpersist()
     ordered = sorted(top, key=lambda r: r["term"].encode())
     return Vocabulary(spec, n_docs, tuple((r["term"], i, r["tf"], r["df"]) for i, r in enumerate(ordered)))
 
 
-def raw_weight(spec: VectorizerSpec, tf: Column, idf: Column) -> Column:
+def raw_weight(spec: VectorizerSpec, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
     if spec.kind == "count":
-        return tf.cast("double")
-    return (1.0 + F.log(tf.cast("double")) if spec.sublinear else tf.cast("double")) * idf
+        return tf.astype(np.float64)
+    return (1.0 + np.log(tf) if spec.sublinear else tf) * idf
+
+
+class Matcher:
+    """Finds a vocabulary's terms in token arrays: one lookup of words, then one of (term so far, next word) per further word of a term."""
+
+    def __init__(self, vocab: Vocabulary):
+        split = [t.split(" ") for t in vocab.terms]
+        self.words = sorted({w for t in split for w in t})
+        place = {w: i for i, w in enumerate(self.words)}
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        code = np.zeros(len(split), dtype=np.int64)
+        for n in range(max((len(t) for t in split), default=0)):
+            key = np.array([code[i] * len(place) + place[t[n]] if len(t) > n else -1 for i, t in enumerate(split)], dtype=np.int64)
+            keys = np.unique(key[key >= 0])
+            code = np.searchsorted(keys, key)
+            ends = np.full(len(keys), -1, dtype=np.int64)
+            for i, t in enumerate(split):
+                if len(t) == n + 1:
+                    ends[code[i]] = i
+            self.levels.append((keys, ends))
+
+    def __call__(self, tokens: pa.Array, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and term of every occurrence."""
+        found_rows, found_terms = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        if not len(tokens) or not self.words:
+            return found_rows[0], found_terms[0]
+        word = pc.fill_null(pc.index_in(tokens.cast(pa.string()), value_set=pa.array(self.words, pa.string())), -1).to_numpy().astype(np.int64)
+        at, code = np.nonzero(word >= 0)[0], None
+        for n, (keys, ends) in enumerate(self.levels):
+            if n:
+                on = _following(rows, at, n)
+                at, code = at[on], code[on]
+            nxt = word[at + n]
+            key = nxt if code is None else code * len(self.words) + nxt
+            place = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+            hit = (nxt >= 0) & (keys[place] == key) if len(keys) else np.zeros(len(key), dtype=bool)
+            at, code = at[hit], place[hit]
+            full = ends[code] >= 0
+            found_rows.append(rows[at[full]])
+            found_terms.append(ends[code[full]])
+        return np.concatenate(found_rows), np.concatenate(found_terms)
 
 
 def sparse_rows(df: DataFrame, text: str, vocab: Vocabulary, key: str = "row_id",
                 carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per key, with the ``carry`` columns that go with it and parallel arrays ``idx`` and ``weight``; unit length for TF-IDF, empty without terms.
-
-    The rows of one text leave the same task, so they are gathered before the shuffle and one compact
-    row per text crosses it.
-    """
-    only = vocab.terms if vocab.size <= CONSTANT_TERMS else None
-    counted = term_counts(df.select(key, *carry, text), text, vocab.spec, only)
-    pairs = counted.select(key, *carry, F.explode_outer("counts").alias("c"))
-    pairs = pairs.select(key, *carry, F.col("c.term").alias("term"), F.col("c.tf").alias("n"))
-    terms = F.broadcast(vocab.table(df.sparkSession).select("term", "term_idx", "idf"))
-    found = pairs.join(terms, "term", "left")
-    entry = F.when(F.col("term_idx").isNotNull(), F.struct(
-        F.col("term_idx").alias("i"), raw_weight(vocab.spec, F.col("n"), F.col("idf")).alias("w")))
-    packed = found.groupBy(key, *carry).agg(
-        F.sort_array(F.collect_list(entry)).alias("e"), F.sum(entry["w"] * entry["w"]).alias("square"))
-    idx, weight = F.transform("e", lambda x: x["i"]), F.transform("e", lambda x: x["w"])
-    if vocab.spec.kind == "count":
-        return packed.select(key, *carry, idx.alias("idx"), weight.alias("weight"))
-    unit = F.transform("e", lambda x: x["w"] / F.sqrt("square"))
-    return packed.select(key, *carry, idx.alias("idx"), unit.alias("weight"))
+    """One row per row of ``df``: key, the ``carry`` columns, and parallel arrays ``idx`` (ascending) and ``weight``; unit length for TF-IDF, empty without terms."""
+    idf = np.array([np.log((1.0 + vocab.n_docs) / (1.0 + r[3])) + 1.0 for r in vocab.rows])
+    shared = df.sparkSession.sparkContext.broadcast((Matcher(vocab), idf))
+    spec, size = vocab.spec, max(vocab.size, 1)
+
+    def weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher, idf = shared.value
+        for batch in batches:
+            for part, rows, tokens in steps(batch, "_tokens"):
+                row, term = matcher(tokens, rows)
+                pair, tf = np.unique(row * size + term, return_counts=True)
+                row, term = pair // size, pair % size
+                weight = raw_weight(spec, tf, idf[term] if len(idf) else np.zeros(len(term)))
+                if spec.kind != "count":
+                    weight = weight / np.sqrt(np.bincount(row, weights=weight * weight, minlength=part.num_rows))[row]
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=part.num_rows))]).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v)) for v in (term.astype(np.int32), weight.astype(np.float64))]
+                names = [c for c in part.schema.names if c != "_tokens"]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], *lists], names=[*names, "idx", "weight"])
+
+    given = df.select(key, *carry, X.feature_tokens(F.col(text)).alias("_tokens"))
+    out = T.StructType([*given.schema.fields[:-1], T.StructField("idx", T.ArrayType(T.IntegerType())), T.StructField("weight", T.ArrayType(T.DoubleType()))])
+    return given.mapInArrow(weights, out)
 
 
 def long_rows(sparse: DataFrame, vocab: Vocabulary, key: str = "row_id") -> DataFrame:
