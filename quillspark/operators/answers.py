@@ -1,4 +1,4 @@
-"""Answering questions from the chunk table by retrieval."""
+"""Answering questions from chunks by retrieval."""
 
 from __future__ import annotations
 
@@ -6,56 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions import text as X
-from ..session import BROADCAST_ROWS, stored
-from . import nearest, vectorize
-from . import words as WD
+from ..session import scratch_path
+from .collection import Collection, question_terms
 
-
-def question_terms(questions: DataFrame, legacy_query: bool = False) -> DataFrame:
-    """The text of each question that is compared with the chunks.
-
-    ``legacy_query`` keeps only words the question repeats and stems them, as a page would be treated.
-    """
-    rows = questions.select(F.col("q_id").alias("row_id"), F.col("query").alias("text"))
-    if legacy_query:
-        ready = WD.preprocess(rows, use_stemming=True)
-    else:
-        ready = WD.preprocess(rows, use_stemming=False, min_freq=1)
-    return ready.select(F.col("row_id").alias("q_id"), F.array_join("final_tokens", " ").alias("terms"))
-
-
-def search(chunks: DataFrame, questions: DataFrame, k: int = V.TOP_K, legacy_query: bool = False,
-           spec: vectorize.VectorizerSpec = vectorize.BOOK_TFIDF) -> DataFrame:
-    """``(q_id, chunk_id, distance, rank)`` by cosine of the TF-IDF vectors fitted on the chunks."""
-    vocab = vectorize.fit(chunks, "text", spec)
-    items = vectorize.sparse_rows(chunks, "text", vocab, "chunk_id")
-    asked = vectorize.sparse_rows(question_terms(questions, legacy_query), "terms", vocab, "q_id")
-    found = nearest.top_k(
-        asked.select(F.col("q_id").alias("id"), "idx", F.col("weight").alias("vector")),
-        items.select(F.col("chunk_id").alias("id"), "idx", F.col("weight").alias("vector")),
-        k, "cosine", dim=max(vocab.size, 1))
-    return found.withColumnRenamed("item_id", "chunk_id")
+__all__ = ["answer", "gate", "question_terms"]
 
 
 def answer(chunks: DataFrame, questions: DataFrame, k: int = V.TOP_K, legacy_query: bool = False) -> DataFrame:
-    """``(q_id, n_hits, best_score, answer)``: one text per question with the ``k`` best passages."""
-    chunks = stored(chunks.select("chunk_id", "source", "page", "text"), "chunks")
-    hits = search(chunks, questions, k, legacy_query).persist()
-    if hits.count() <= BROADCAST_ROWS:
-        hits = F.broadcast(hits)
-    shown = chunks.select("chunk_id", "source", "page", X.snippet(F.col("text")).alias("snippet"))
-    placed = shown.join(hits, "chunk_id")
-    part = F.format_string("From %s, page %d:\n%s\n\n", "source", "page", "snippet")
-    found = placed.groupBy("q_id").agg(
-        F.sort_array(F.collect_list(F.struct("rank", part.alias("part")))).alias("parts"),
-        F.max(1.0 - F.col("distance")).alias("best_score"))
-    head = F.replace(F.lit(V.ANSWER_HEAD), F.lit("{query}"), F.col("query"))
-    body = F.array_join(F.transform("parts", lambda p: p["part"]), "")
-    return questions.join(found, "q_id", "left").select(
-        "q_id", F.coalesce(F.size("parts"), F.lit(0)).alias("n_hits"),
-        F.coalesce("best_score", F.lit(0.0)).alias("best_score"),
-        F.concat(head, F.coalesce(body, F.lit(""))).alias("answer"))
+    """Answers from a collection made for these chunks. Make a :class:`Collection` to ask more than once."""
+    made = Collection.make(chunks.sparkSession, scratch_path(chunks.sparkSession, "collection"), chunks)
+    return made.answer(questions, k, legacy_query)
 
 
 def gate(best: DataFrame, threshold: float = 0.1) -> DataFrame:

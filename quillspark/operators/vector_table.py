@@ -18,9 +18,9 @@ PARTS = ("document", "embedding", "metadata")
 
 
 def one_per_id(rows: DataFrame) -> DataFrame:
-    """Keep one row per id, the smallest by document."""
+    """Keep one row per id, the smallest by its other columns in their order."""
     rest = [c for c in rows.columns if c != "id"]
-    picked = rows.groupBy("id").agg(F.min_by(F.struct(*rest), F.struct("document")).alias("r"))
+    picked = rows.groupBy("id").agg(F.min(F.struct(*rest)).alias("r"))
     return picked.select("id", *[F.col(f"r.{c}").alias(c) for c in rest])
 
 
@@ -29,8 +29,8 @@ def add(current: DataFrame, new: DataFrame) -> DataFrame:
     return current.unionByName(fresh(current, new))
 
 
-def fresh(current: DataFrame, new: DataFrame) -> DataFrame:
-    return one_per_id(new).join(current.select("id"), "id", "left_anti")
+def fresh(current: DataFrame, new: DataFrame, unique: bool = False) -> DataFrame:
+    return (new if unique else one_per_id(new)).join(current.select("id"), "id", "left_anti")
 
 
 def delete(current: DataFrame, ids: DataFrame) -> DataFrame:
@@ -92,6 +92,9 @@ class VectorTable:
     def _data(self, version: int) -> str:
         return os.path.join(self.path, f"data-{version}")
 
+    def exists(self) -> bool:
+        return self._version() is not None
+
     def rows(self) -> DataFrame:
         version = self._version()
         if version is None:
@@ -104,12 +107,13 @@ class VectorTable:
         listed = self.spark.range(1).select(F.lit(version).cast("long").alias("version"))
         listed.write.mode("append").parquet(os.path.join(self.path, "versions"))
 
-    def add(self, new: DataFrame) -> None:
+    def add(self, new: DataFrame, unique: bool = False) -> None:
+        """Add the rows whose id is new; ``unique`` says that no id comes twice in ``new``."""
         version = self._version()
         if version is None:
-            self._publish(one_per_id(new))
+            self._publish(new if unique else one_per_id(new))
         else:
-            fresh(self.rows(), new).write.mode("append").parquet(self._data(version))
+            fresh(self.rows(), new, unique).write.mode("append").parquet(self._data(version))
 
     def delete(self, ids: DataFrame) -> None:
         self._publish(delete(self.rows(), ids))
