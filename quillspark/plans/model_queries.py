@@ -227,6 +227,36 @@ def frequent_itemsets(spark, folder):
     return sets.select(F.array_join("items", "|").alias("items"), "freq", X.rounded(F.col("support")).alias("support"))
 
 
+PAIR_SUPPORT = 0.01
+S.add_table("pairs", ("baskets",), f"""
+SELECT x || '|' || y AS items, freq, freq / n AS support FROM (SELECT a.item AS x, b.item AS y, count(*) AS freq FROM baskets a JOIN baskets b
+ON a.row_id = b.row_id AND a.item < b.item GROUP BY a.item, b.item), (SELECT count(*) AS n FROM review_tokens) WHERE freq >= {PAIR_SUPPORT} * n - 1e-9""")
+
+
+S.add_table("single", ("baskets", "review_tokens"), "SELECT item, count(*) AS freq, count(*) / n AS support, n FROM baskets,"
+            " (SELECT count(*) AS n FROM review_tokens) GROUP BY item, n")
+
+
+@query("frequent_pairs", S.with_tables("pairs", "single", f"SELECT items, freq, {r6('support')} AS support FROM pairs UNION ALL"
+                                       f" SELECT item, freq, {r6('support')} FROM single WHERE freq >= {PAIR_SUPPORT} * n - 1e-9"))
+def frequent_pairs(spark, folder):
+    sets = R.frequent_itemsets(stored(baskets(spark, folder), "baskets"), PAIR_SUPPORT, max_len=2)
+    return sets.select(F.array_join("items", "|").alias("items"), "freq", X.rounded(F.col("support")).alias("support"))
+
+
+@query("pair_rules", S.with_tables("pairs", "single", f"""
+SELECT antecedent, consequent, {r6('support')} AS support, {r6('support / a')} AS confidence, {r6('support / a / c')} AS lift FROM (
+  SELECT a.item AS antecedent, c.item AS consequent, p.support, a.support AS a, c.support AS c
+  FROM (SELECT split_part(items, '|', side) AS x, split_part(items, '|', 3 - side) AS y, support FROM pairs, (SELECT unnest([1, 2]) AS side)) p
+  JOIN single a ON a.item = p.x JOIN single c ON c.item = p.y)
+WHERE support / a / c >= 1.2"""))
+def pair_rules(spark, folder):
+    sets = stored(R.frequent_itemsets(stored(baskets(spark, folder), "baskets"), PAIR_SUPPORT, max_len=2), "pairs")
+    rules = R.association_rules(sets)
+    return rules.select(F.array_join("antecedent", "|").alias("antecedent"), F.array_join("consequent", "|").alias("consequent"),
+                        *[X.rounded(F.col(c)).alias(c) for c in ("support", "confidence", "lift")])
+
+
 def _rules(spark, folder):
     rules = R.association_rules(R.frequent_itemsets(baskets(spark, folder).persist(), SUPPORT))
     finite = F.when(F.col("conviction") < float("inf"), F.col("conviction"))

@@ -292,3 +292,21 @@ def test_page_docs_keeps_null_and_repeated_ids(spark, tmp_path):
     assert set(got) == set(rows)
     assert {got[1, "a", "x"], got[1, "b", "x"]} == {1, 2} and got[2, "d", "x"] == 3 and got[None, "c", "x"] == 4
     assert got[0, "e", None] == 1 and got[None, "f", None] == 2
+
+
+def test_itemsets_in_rounds_match_counting(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    baskets = [sorted({str(x) for x in rng.integers(0, 14, size=rng.integers(0, 9))}) for _ in range(400)] + [None, [None, "1"], ["1", "2", "3"]]
+    rows = spark.createDataFrame([(b,) for b in baskets], "items array<string>").repartition(5)
+    want = {}
+    for size in range(1, 6):
+        for b in baskets:
+            for c in combinations([x for x in sorted(b or [], key=lambda x: x or "") if x], size):
+                want[c] = want.get(c, 0) + 1
+    want = {c: n for c, n in want.items() if n >= 0.012 * len(baskets)}
+    got = {tuple(r["items"]): r["freq"] for r in rules.frequent_itemsets(rows, 0.012).collect()}
+    assert got == want and max(map(len, got)) >= 3
+    monkeypatch.setattr(rules, "COUNTERS", 40)
+    monkeypatch.setattr(rules, "CANDIDATES", 7)
+    assert {tuple(r["items"]): r["freq"] for r in rules.frequent_itemsets(rows, 0.012, max_len=2).collect()} == {c: n for c, n in want.items() if len(c) < 3}
+    assert rules.frequent_itemsets(rows.limit(0), 0.012).count() == 0
