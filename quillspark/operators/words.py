@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from ..functions import fixed_values as V
 from ..functions import porter
@@ -16,6 +17,7 @@ from ..functions import text as X
 from ..session import BROADCAST_ROWS, fits
 
 SALTS = 32
+KNOWN = 200_000
 
 # fixed values: noun endings and what replaces them
 NOUN_ENDINGS = [("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"),
@@ -36,14 +38,15 @@ def book_columns(pages: DataFrame, min_freq: int = 2) -> DataFrame:
     return X.keep_repeated(df, "length_filtered_tokens", "rare_filtered_tokens", min_freq)
 
 
-def review_tokens(reviews: DataFrame) -> DataFrame:
+def review_tokens(reviews: DataFrame, lemmas: bool = False) -> DataFrame:
     df = reviews.withColumn("clean", X.clean_review(F.col("reviewText")))
-    return df.withColumn("tokens", X.review_stopped(X.review_tokens(F.col("clean"))))
+    df = df.withColumn("tokens", X.review_stopped(X.review_tokens(F.col("clean"))))
+    return lemmatise(df, "tokens", "tokens") if lemmas else df
 
 
-def rated_reviews(reviews: DataFrame, min_tokens: int = 3) -> DataFrame:
-    """Reviews ready for modelling: no nulls, integer rating, sentiment, at least ``min_tokens`` tokens."""
-    df = review_tokens(reviews.na.drop(subset=["reviewText", "overall"]))
+def rated_reviews(reviews: DataFrame, min_tokens: int = 3, lemmas: bool = True) -> DataFrame:
+    """Reviews ready for modelling: no nulls, integer rating, sentiment, at least ``min_tokens`` tokens, lemmatised."""
+    df = review_tokens(reviews.na.drop(subset=["reviewText", "overall"]), lemmas)
     return (df.withColumn("overall", F.col("overall").cast("int"))
             .withColumn("sentiment", (F.col("overall") >= 4).cast("int"))
             .withColumn("clean_joined", F.array_join("tokens", " "))
@@ -63,10 +66,50 @@ def chunk_table(pages: DataFrame, size: int = V.CHUNK_WORDS, overlap: int = V.CH
             .withColumn("label", X.source_label(F.col("source"))))
 
 
-@pandas_udf(T.StringType())
-def _stem(words: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in words:
-        yield batch.map(porter.stem)
+def _with_stems(words: pa.Array, known: dict[str, str]) -> pa.Array:
+    """The stem of each word, made once per distinct word of the array; ``known`` keeps stems between arrays, up to ``KNOWN``."""
+    coded = words.cast(pa.string()).dictionary_encode()
+    stems = []
+    for word in coded.dictionary.to_pylist():
+        made = known.get(word)
+        if made is None:
+            made = porter.stem(word)
+            if len(known) < KNOWN:
+                known[word] = made
+        stems.append(made)
+    return pa.array(stems, pa.string()).take(coded.indices)
+
+
+def _relisted(lists: pa.ListArray, values: pa.Array) -> pa.ListArray:
+    """Lists with new ``values``, in the place of ``lists.flatten()``."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0)
+    ends = pc.cumulative_sum(pa.concat_arrays([pa.array([0], pa.int32()), sizes.cast(pa.int32())]))
+    return pa.ListArray.from_arrays(ends, values, mask=lists.is_null() if lists.null_count else None)
+
+
+@arrow_udf(T.StringType())
+def _stem(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    known: dict[str, str] = {}
+    for words in batches:
+        yield _with_stems(words, known)
+
+
+@arrow_udf(T.ArrayType(T.StringType()))
+def _stem_lists(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    known: dict[str, str] = {}
+    for lists in batches:
+        yield _relisted(lists, _with_stems(lists.flatten(), known))
+
+
+def _in_place(udf, tokens: str) -> Column:
+    """``udf`` of an array column. Spark does not run a function in Python whose argument holds a lambda; naming the column twice keeps the projection
+    that computes it from being merged into the call."""
+    return F.when(F.col(tokens).isNotNull(), udf(F.col(tokens)))
+
+
+def stem_tokens(tokens: str) -> Column:
+    """Stems of an array of words, in its own row."""
+    return _in_place(_stem_lists, tokens)
 
 
 def stem_table(words: DataFrame) -> DataFrame:
@@ -107,10 +150,41 @@ def look_up(tokens: DataFrame, mapping: DataFrame, key: str, value: str, rows: i
     return joined.withColumn(value, F.coalesce("_value", key)).drop("_value")
 
 
-def map_tokens(df: DataFrame, tokens: str, out: str, make_table) -> DataFrame:
-    """Replace each token of an array column by a per-word table built from the distinct words of ``df``."""
+def distinct_words(df: DataFrame, tokens: str) -> DataFrame:
+    """``word``: the words of an array column, made distinct batch by batch before the shuffle."""
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).flatten().unique().cast(pa.string()).drop_null()], names=["word"])
+
+    return df.select(tokens).mapInArrow(words, "word string").distinct()
+
+
+def lemmatise(df: DataFrame, tokens: str, out: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add ``out``: the tokens of an array column with plural nouns replaced by their singular, if that is a word of ``df``.
+
+    The words with a singular are a small part of the vocabulary. Up to ``rows`` of them are sent to the tasks, and each row's tokens are replaced in place;
+    beyond that tokens are joined and gathered by ``row_id``.
+    """
+    table = lemma_table(distinct_words(df, tokens))
+    head = table.limit(rows + 1).toArrow()
+    if head.num_rows > rows:
+        return map_tokens(df, tokens, out, table)
+    shared = df.sparkSession.sparkContext.broadcast((head.column("word").combine_chunks(), head.column("lemma").combine_chunks()))
+
+    @arrow_udf(T.ArrayType(T.StringType()))
+    def replaced(lists: pa.Array) -> pa.Array:
+        words, lemmas = shared.value
+        flat = lists.flatten().cast(pa.string())
+        if not len(words):
+            return _relisted(lists, flat)
+        return _relisted(lists, pc.coalesce(lemmas.take(pc.index_in(flat, value_set=words)), flat))
+
+    return df.withColumn(out, _in_place(replaced, tokens))
+
+
+def map_tokens(df: DataFrame, tokens: str, out: str, table: DataFrame) -> DataFrame:
+    """Replace each token of an array column by a table with a row per word, by a join. Rows need distinct ids ``row_id``."""
     longs = X.each(df, ["row_id"], F.col(tokens), "word", place="pos")
-    table = make_table(longs.select("word"))
     value = next(c for c in table.columns if c != "word")
     mapped = look_up(longs, table, "word", value)
     lists = mapped.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("pos", value))).alias("_pairs"))
@@ -123,8 +197,5 @@ def preprocess(pages: DataFrame, use_stemming: bool = True, use_lemmatization: b
                min_freq: int = 2) -> DataFrame:
     """The full preprocessing record of each page; stems first when both switches are on."""
     df = book_columns(pages, min_freq).withColumnRenamed("text", "original_text")
-    df = df.withColumn("final_tokens", F.col("rare_filtered_tokens"))
-    for wanted, make in ((use_stemming, stem_table), (use_lemmatization, lemma_table)):
-        if wanted:
-            df = map_tokens(df.withColumnRenamed("final_tokens", "_before"), "_before", "final_tokens", make).drop("_before")
-    return df
+    df = df.withColumn("final_tokens", stem_tokens("rare_filtered_tokens") if use_stemming else F.col("rare_filtered_tokens"))
+    return lemmatise(df, "final_tokens", "final_tokens") if use_lemmatization else df

@@ -194,7 +194,7 @@ S.add_table("line_rows", ("rated", "line"), "SELECT row_id, overall AS y, a * re
 
 
 def line_fit(spark, folder):
-    rows = WD.rated_reviews(tables.reviews(spark, folder)).select("row_id", "overall", "review_len")
+    rows = WD.rated_reviews(tables.reviews(spark, folder), lemmas=False).select("row_id", "overall", "review_len")
     line = rows.agg(F.regr_slope("overall", "review_len").alias("a"), F.regr_intercept("overall", "review_len").alias("b")).head()
     return rows.select("row_id", F.col("overall").alias("y"), (line["a"] * F.col("review_len") + line["b"]).alias("p"))
 

@@ -222,18 +222,42 @@ def stem_vocab(spark, folder):
     return WD.stem_table(X.each(rows, [], F.col("length_filtered_tokens"), "word"))
 
 
-S.add_table("lemma_words", ("review_tokens",), "SELECT DISTINCT unnest(tokens) AS word FROM review_tokens")
-S.add_table("lemmas", ("lemma_words",), """
+def sql_lemmas(name: str, words: str) -> None:
+    """Add table ``name`` with the lemma of each word of the table ``words`` that has another one."""
+    S.add_table(name, (words,), f"""
 SELECT w.word, c.guess AS lemma FROM (SELECT word, unnest([
   CASE WHEN word LIKE '%ses' THEN word[1:len(word)-2] END, CASE WHEN word LIKE '%ves' THEN word[1:len(word)-3] || 'f' END,
   CASE WHEN word LIKE '%xes' THEN word[1:len(word)-2] END, CASE WHEN word LIKE '%zes' THEN word[1:len(word)-2] END,
   CASE WHEN word LIKE '%ches' THEN word[1:len(word)-2] END, CASE WHEN word LIKE '%shes' THEN word[1:len(word)-2] END,
   CASE WHEN word LIKE '%men' THEN word[1:len(word)-3] || 'man' END, CASE WHEN word LIKE '%ies' THEN word[1:len(word)-3] || 'y' END,
-  CASE WHEN word LIKE '%s' THEN word[1:len(word)-1] END]) AS guess FROM lemma_words) c JOIN lemma_words w ON c.word = w.word
-WHERE c.guess IN (SELECT word FROM lemma_words) AND w.word NOT LIKE '%ss'
+  CASE WHEN word LIKE '%s' THEN word[1:len(word)-1] END]) AS guess FROM {words}) c JOIN {words} w ON c.word = w.word
+WHERE c.guess IN (SELECT word FROM {words}) AND w.word NOT LIKE '%ss'
 QUALIFY row_number() OVER (PARTITION BY w.word ORDER BY len(c.guess), c.guess) = 1""")
 
 
+S.add_table("lemma_words", ("review_tokens",), "SELECT DISTINCT unnest(tokens) AS word FROM review_tokens")
+sql_lemmas("lemmas", "lemma_words")
+S.add_table("book_words", ("repeated",), "SELECT DISTINCT unnest(string_split(repeated, ' ')) AS word FROM repeated")
+sql_lemmas("book_lemmas", "book_words")
+
+
+def _sql_lemma_lists(tokens: str, lemmas: str) -> str:
+    return (f"SELECT r.row_id, string_agg(coalesce(l.lemma, r.token), ' ' ORDER BY r.pos) AS tokens FROM (SELECT row_id, unnest(t) AS token,"
+            f" generate_subscripts(t, 1) AS pos FROM ({tokens})) r LEFT JOIN {lemmas} l ON r.token = l.word GROUP BY r.row_id")
+
+
+@query("review_lemmas", S.with_tables("review_tokens", "lemmas", _sql_lemma_lists("SELECT row_id, tokens AS t FROM review_tokens", "lemmas")))
+def review_lemmas(spark, folder):
+    rows = WD.review_tokens(tables.reviews(spark, folder), lemmas=True)
+    return rows.filter(F.size("tokens") > 0).select("row_id", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query("page_lemmas", S.with_tables("repeated", "book_lemmas", _sql_lemma_lists("SELECT row_id, string_split(repeated, ' ') AS t FROM repeated", "book_lemmas")))
+def page_lemmas(spark, folder):
+    record = WD.preprocess(tables.page_docs(spark, folder), use_stemming=False, use_lemmatization=True)
+    return record.select("row_id", F.array_join("final_tokens", " ").alias("tokens"))
+
+
 @query("lemma_join", S.with_tables(
     "review_tokens", "lemmas", "SELECT t.row_id, CAST(t.pos - 1 AS INT) AS pos, coalesce(l.lemma, t.token) AS lemma FROM (SELECT row_id,"
     " unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM review_tokens) t LEFT JOIN lemmas l ON t.token = l.word"))

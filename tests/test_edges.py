@@ -69,6 +69,20 @@ def test_stem_and_lemma_switches(spark):
     assert lemma == ["running", "runs", "running", "runs", "cat", "cat", "cat", "cat"]
 
 
+def test_stems_and_lemmas_stay_in_their_rows(spark):
+    rows = [(1, ["ponies", "pony", None, "cats"]), (2, []), (3, None), (1, ["cat", "women", "woman", "buses"])]
+    df = spark.createDataFrame(rows, "row_id long, tokens array<string>")
+    stems = df.select("row_id", WD.stem_tokens("tokens").alias("s"))
+    assert "Exchange" not in stems._jdf.queryExecution().toString()
+    assert sorted(map(str, (tuple(r) for r in stems.collect()))) == sorted(map(str, [
+        (1, [None if t is None else porter.stem(t) for t in rows[0][1]]), (2, []), (3, None), (1, [porter.stem(t) for t in rows[3][1]])]))
+    want = [(1, ["pony", "pony", None, "cat"]), (2, []), (3, None), (1, ["cat", "woman", "woman", "buses"])]
+    assert sorted(map(str, (tuple(r) for r in WD.lemmatise(df, "tokens", "s").select("row_id", "s").collect()))) == sorted(map(str, want))
+    apart = df.filter("row_id > 1 OR tokens[0] = 'ponies'").na.drop()
+    joined = {r["row_id"]: r["s"] for r in WD.lemmatise(apart, "tokens", "s", rows=0).collect()}
+    assert joined == {1: ["pony", "pony", None, "cats"], 2: []}
+
+
 def test_look_up_beyond_the_broadcast_bound(spark):
     tokens = spark.createDataFrame([(i, 0, "cats" if i % 2 else f"w{i}") for i in range(50)], "row_id int, pos int, word string")
     table = spark.createDataFrame([("cats", "cat"), ("w2", "v2")], "word string, lemma string")
