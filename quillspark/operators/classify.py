@@ -11,12 +11,12 @@ from .features import long_form
 MAX_CLASSES = 1000
 
 
-def knn(train: DataFrame, test: DataFrame, ks: tuple[int, ...] = (3,)) -> DataFrame:
+def knn(train: DataFrame, test: DataFrame, ks: tuple[int, ...] = (3,), cells: bool | None = None) -> DataFrame:
     """``(id, y, p, k)``: majority label of the ``k`` nearest training rows, ties to the smaller label.
 
     One neighbour search serves every ``k``. Both sides have ``id``, ``vector`` and ``label``.
     """
-    near = nearest.top_k(test.select("id", "vector"), train.select("id", "vector"), max(ks))
+    near = nearest.top_k(test.select("id", "vector"), train.select("id", "vector"), max(ks), cells=cells)
     served = F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k >= F.col("rank"))
     labels = train.select(F.col("id").alias("item_id"), F.col("label").alias("p"))
     votes = near.join(labels, "item_id").select("q_id", "p", F.explode(served).alias("k"))

@@ -22,6 +22,7 @@ QUERY_BLOCK = 2048
 ITEM_BLOCK = 16384
 STEP_ROWS = 2048
 DIGITS = 9
+PAIRS = 500_000_000
 
 
 def _matrix(vectors: pa.Array, idx: pa.Array | None, dim: int) -> np.ndarray:
@@ -102,9 +103,12 @@ def _dimension(df: DataFrame) -> int:
 
 
 def top_k(queries: DataFrame, items: DataFrame, k: int = 5, metric: str = "l2", dim: int | None = None,
-          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+          broadcast_bytes: int = BROADCAST_BYTES, cells: bool | None = None, counter=None) -> DataFrame:
     """``(q_id, item_id, distance, rank)``: the ``k`` items nearest to each query.
 
+    With ``cells``, for dense vectors, only cells of items that can hold one of the nearest are compared (see :mod:`.cells`). None chooses cells from
+    ``PAIRS`` pairs on. The result is the same.
+
     Both sides have ``id`` and ``vector`` (dense), or ``id``, ``idx`` and ``vector`` (sparse, with ``dim``).
     ``metric`` is ``"l2"`` (squared Euclidean) or ``"cosine"`` (one minus cosine). Ids are unique on each side.
     """
@@ -123,7 +127,13 @@ def top_k(queries: DataFrame, items: DataFrame, k: int = 5, metric: str = "l2",
                         T.StructField("distance", T.DoubleType())])
     most = max(1, broadcast_bytes // (8 * max(dim, 1)))
     head = queries.limit(most + 1).toArrow()
-    if head.num_rows <= most:
+    if cells is None and "idx" not in cols:
+        cells = head.num_rows * items.count() > PAIRS
+    if cells:
+        from .cells import near_in_cells
+
+        found = near_in_cells(queries, items, k, metric, dim, schema, out, counter=counter)
+    elif head.num_rows <= most:
         found = _near_broadcast(head, items, k, metric, dim, schema, out)
     else:
         found = _near_grid(queries, items, k, metric, dim, schema, out)

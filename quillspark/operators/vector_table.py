@@ -61,13 +61,13 @@ def metadata_keys(where: dict, columns: list[str]) -> dict:
 
 
 def search(current: DataFrame, queries: DataFrame, k: int = V.TOP_K, metric: str = "l2",
-           where: dict | None = None) -> DataFrame:
+           where: dict | None = None, cells: bool | None = None) -> DataFrame:
     """The ``k`` nearest rows for each ``(id, vector)`` query; ``where`` filters before the ranking.
 
     A key names a column or a field of the metadata. Rows whose value is null match no condition, ``$ne`` and ``$nin`` included.
     """
     rows = current.filter(nearest.where_clause(metadata_keys(where, current.columns))) if where else current
-    return nearest.top_k(queries, rows.select("id", F.col("embedding").alias("vector")), k, metric)
+    return nearest.top_k(queries, rows.select("id", F.col("embedding").alias("vector")), k, metric, cells=cells)
 
 
 class VectorTable:
@@ -124,5 +124,5 @@ class VectorTable:
     def count(self) -> int:
         return self.rows().count()
 
-    def search(self, queries: DataFrame, k: int = V.TOP_K, metric: str = "l2", where: dict | None = None) -> DataFrame:
-        return search(self.rows(), queries, k, metric, where)
+    def search(self, queries: DataFrame, k: int = V.TOP_K, metric: str = "l2", where: dict | None = None, cells: bool | None = None) -> DataFrame:
+        return search(self.rows(), queries, k, metric, where, cells)

@@ -74,9 +74,9 @@ def _sides(rows, test):
     return flat.filter(~F.col("is_test")), flat.filter("is_test")
 
 
-def knn_split(spark, folder, ks=(3,)):
+def knn_split(spark, folder, ks=(3,), cells=None):
     train, test = _sides(SP.at_random(points(spark, folder), "vec_id"), F.col("is_test") == 1)
-    return C.knn(train, test, ks).withColumnRenamed("id", "vec_id")
+    return C.knn(train, test, ks, cells).withColumnRenamed("id", "vec_id")
 
 
 def knn_folds(spark, folder, ks=(3,)):
@@ -123,7 +123,7 @@ def label_encode(spark, folder):
 
 @query("knn_classify", S.with_tables("knn3", "SELECT vec_id, y, p FROM knn3"))
 def knn_classify(spark, folder):
-    return knn_split(spark, folder).drop("k")
+    return knn_split(spark, folder, cells=True).drop("k")
 
 
 @query("cv_scores", S.with_tables("board_cv", f"SELECT {r6('avg(f1)')} AS cv_mean, {r6('stddev_pop(f1)')} AS cv_std FROM board_cv WHERE model = 'knn3'"))

@@ -11,7 +11,7 @@ from ..operators import nearest as N
 from ..operators import vector_table as VT
 from ..operators import vectorize as VZ
 from ..operators import words as WD
-from ..session import stored
+from ..session import scratch_path, stored
 from ..sources import tables
 from . import sqltext as S
 from .registry import query
@@ -125,16 +125,16 @@ SELECT q_id, id, CAST(rank AS INT) AS rank, {S.r6('distance')} AS distance FROM
 WHERE rank <= 5""")
 
 
-def _search(spark, folder, metric, where=None):
+def _search(spark, folder, metric, where=None, cells=True):
     rows = tables.vectors(spark, folder)
     asked = rows.select("id", F.col("embedding").alias("vector"))
-    found = VT.search(rows, asked, 5, metric, where)
+    found = VT.search(rows, asked, 5, metric, where, cells)
     return found.select("q_id", F.col("item_id").alias("id"), "rank", X.rounded(F.col("distance")).alias("distance"))
 
 
 @query("vec_topk_l2", _sql_nearest("l2", "true"))
 def vec_topk_l2(spark, folder):
-    return _search(spark, folder, "l2")
+    return _search(spark, folder, "l2", cells=None)
 
 
 @query("vec_topk_cosine", _sql_nearest("cosine", "true"))
@@ -193,6 +193,26 @@ def vec_update(spark, folder):
     return _show(VT.update(tables.vectors(spark, folder), changes))
 
 
+@query("vec_stored", S.with_tables("vectors", f"""
+SELECT a.id, coalesce('quality ' || l.quality, a.document) AS document, {S.r6('a.total')} AS total, a.page FROM (
+  SELECT id, vec_id, document, list_sum(embedding) AS total, label AS page FROM vectors UNION ALL
+  SELECT concat('vec_', doc_id), doc_id, text, 1.0, -1 FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM vectors)) a
+LEFT JOIN labels l ON a.vec_id = l.doc_id WHERE coalesce(l.toxic, 0) = 0"""))
+def vec_stored(spark, folder):
+    """A stored table after two additions, an update and a deletion, opened again."""
+    path = scratch_path(spark, "vectors")
+    labels = tables.table(spark, folder, "labels").select(F.concat(F.lit("vec_"), F.col("doc_id")).alias("id"), "quality", "toxic")
+    meta = lambda source, page: F.struct(source.alias("source"), page.cast("int").alias("page"), F.lit(None).cast("string").alias("original_text")).alias("metadata")
+    rows = tables.vectors(spark, folder).select("id", "document", "embedding", meta(F.col("metadata.source"), F.col("label")))
+    new = tables.documents(spark, folder).select(F.concat(F.lit("vec_"), F.col("row_id")).alias("id"), F.col("text").alias("document"),
+                                                 F.array(F.lit(1.0)).cast("array<float>").alias("embedding"), meta(F.col("source"), F.lit(-1)))
+    VT.VectorTable(spark, path).add(rows)
+    VT.VectorTable(spark, path).add(new)
+    VT.VectorTable(spark, path).update(labels.select("id", F.concat(F.lit("quality "), F.col("quality")).alias("document")))
+    VT.VectorTable(spark, path).delete(labels.filter("toxic = 1").select("id"))
+    return _show(VT.VectorTable(spark, path).rows().withColumn("label", F.col("metadata.page"))).withColumnRenamed("label", "page")
+
+
 S.add_table("asked", ("questions",), f"SELECT q_id, query, array_to_string(" + S.keep(
     f"regexp_extract_all({S.clean_book('query')}, {S.lit(A.V.BOOK_TOKEN)})",
     f"length(t) BETWEEN 3 AND 20 AND NOT list_contains({S.BOOK_STOP}, t)") + ", ' ') AS terms FROM questions")
