@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
 All words of the mix are dealt in blocks of equal size. Sources get whole blocks by the highest quotients ``target / (2 * blocks + 1)``, then the
-shards of each source get theirs in the same way. A shard's documents stand in seeded order on a ring of words; the shard takes its blocks from
-a seeded block on, round the ring as often as needed.
+shards of each source get theirs in the same way; a source has a shard per ``SHARD_BLOCKS`` blocks of its words. What whole blocks leave between a source's
+words and its target is made up by part blocks in its shards, as far as their limits allow, so a source takes its target to the word, whatever the size of a
+block. A shard's documents stand in seeded order on a ring of words; the shard takes its blocks from a seeded block on, round the ring as often as needed.
 
 Edge cases: a null text has size 0; a null source is a source of its own, last in order. A source without words has target 0. Repeated rows count
 as often as they occur. With no words at all every target and every taken number is 0. Other columns of the input are ignored.
@@ -21,17 +22,18 @@ from pyspark.sql import functions as F
 from .shared import stored, words_count
 
 BLOCKS = 1 << 20
-SHARDS = 256
+LARGEST_BLOCK = 1 << 22
+SHARD_BLOCKS = 1 << 10
 MOST_REPEATS = 3
 
 
 def sized_documents(docs: DataFrame, seed: int, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
-    """Ids, sources, sizes, shard and seeded place; stored, as every later step needs it. ``gone`` marks a null source."""
+    """Ids, sources, sizes, and seeded numbers for shard and place; stored, as every later step needs it. ``gone`` marks a null source."""
     kept = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(source_column).cast("string").alias("source"),
                        words_count(F.col(text_column)).alias("size"))
     return stored(kept.select(
         "doc_id", F.col("source").isNull().alias("gone"), F.coalesce("source", F.lit("")).alias("name"), "size",
-        F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.lit(SHARDS)).cast("int").alias("shard"),
+        F.xxhash64(F.lit(seed), "doc_id", "size").alias("spot"),
         F.xxhash64(F.lit(seed + 1), "doc_id", "size").alias("place")), "sized")
 
 
@@ -116,16 +118,27 @@ def highest_quotients(values: list[int], most: list[int], seats: int) -> list[in
     return given
 
 
-def shard_quotas(shards: DataFrame, sources: DataFrame, block: int, most: int = MOST_REPEATS) -> DataFrame:
-    """Whole blocks for each shard of a source. A source has at most ``SHARDS`` shards, so a group is small."""
+def whole_target(words: list[int], most: list[int], goal: int) -> list[int]:
+    """``words`` of a source's shards, changed by as little as makes them add up to ``goal``, none above its limit."""
+    made, left = list(words), goal - sum(words)
+    for i in sorted(range(len(made)), key=lambda i: (-most[i], i)):
+        change = max(-made[i], min(left, most[i] - made[i]))
+        made[i] += change
+        left -= change
+    return made
+
+
+def shard_words(shards: DataFrame, block: int, most: int = MOST_REPEATS) -> DataFrame:
+    """``words`` that each shard of a source takes. Shards have about ``SHARD_BLOCKS`` blocks, so a source has a few thousand at most."""
     def rows(table: pa.Table) -> pa.Table:
         table = table.sort_by("shard")
-        sizes = table.column("shard_size").to_pylist()
-        quotas = highest_quotients(sizes, [most * s // block for s in sizes], table.column("seats")[0].as_py())
-        return table.select(["gone", "name", "shard", "shard_size"]).append_column("quota", pa.array(quotas, pa.int64()))
+        sizes, seats, goal = table.column("shard_size").to_pylist(), table.column("seats")[0].as_py(), table.column("goal")[0].as_py()
+        limits = [most * s for s in sizes]
+        quotas = highest_quotients(sizes, [-(-m // block) for m in limits], seats)
+        words = whole_target([min(q * block, m) for q, m in zip(quotas, limits)], limits, goal)
+        return table.select(["gone", "name", "shard", "shard_size"]).append_column("words", pa.array(words, pa.int64()))
 
-    joined = shards.join(sources.select("gone", "name", "seats"), ["gone", "name"])
-    return joined.groupBy("gone", "name").applyInArrow(rows, "gone boolean, name string, shard int, shard_size long, quota long")
+    return shards.groupBy("gone", "name").applyInArrow(rows, "gone boolean, name string, shard long, shard_size long, words long")
 
 
 def overlap(a: Column, b: Column, c: Column, d: Column) -> Column:
@@ -136,25 +149,24 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int = MOST_RE
         id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, taken``. Sources' weights repeat ``cycle`` in order of their names."""
     sized = sized_documents(docs, seed, id_column, text_column, source_column)
-    shards = stored(sized.groupBy("gone", "name", "shard").agg(F.sum("size").alias("shard_size")), "shards")
-    sources = shards.groupBy("gone", "name").agg(F.sum("shard_size").alias("size"))
-    aimed = stored(targets(sources, cycle, most), "targets")
+    aimed = stored(targets(sized.groupBy("gone", "name").agg(F.sum("size").alias("size")), cycle, most), "targets")
     total = aimed.agg(F.sum("size")).first()[0] or 0
-    block = max(1, -(-total // blocks))
-    seated = apportion(aimed, F.col("target"), round(total / block), ["gone", "name"]).select(
-        "gone", "name", F.col("size").alias("source_size"), "target", "seats")
-    seated = stored(seated, "seats")
-    quotas = shard_quotas(shards, seated, block, most)
+    block = max(1, min(-(-total // blocks), LARGEST_BLOCK))
+    seated = apportion(aimed, F.col("target"), round(total / block), ["gone", "name"])
+    seated = stored(seated.select(F.col("gone").alias("_gone"), F.col("name").alias("_name"), F.col("size").alias("source_size"), "target", "seats",
+                                  F.floor(F.col("target") + 0.5).alias("goal"), F.greatest(F.lit(1), F.floor(F.col("size") / (block * SHARD_BLOCKS))).alias("n")), "seats")
+    known = (F.col("gone") == F.col("_gone")) & (F.col("name") == F.col("_name"))
+    dealt = stored(sized.join(seated, known).withColumn("shard", F.pmod("spot", "n")).drop("_gone", "_name", "spot", "n"), "dealt")
+    shards = dealt.groupBy("gone", "name", "shard").agg(F.sum("size").alias("shard_size"), F.first("seats").alias("seats"), F.first("goal").alias("goal"))
 
     ring = W.partitionBy("gone", "name", "shard").orderBy("place", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    placed = sized.withColumn("end", F.sum("size").over(ring)).withColumn("start", F.col("end") - F.col("size"))
-    words = F.col("quota") * block
+    placed = dealt.withColumn("end", F.sum("size").over(ring)).withColumn("start", F.col("end") - F.col("size"))
+    words = F.col("words")
     length = F.greatest(F.col("shard_size"), F.lit(1))
     rounds = F.floor(words / length)
     rest = words - rounds * length
     first = F.pmod(F.xxhash64(F.lit(seed + 2), "name", "shard"), F.greatest(F.lit(1), F.floor(length / block))) * block
     taken = rounds * F.col("size") + overlap(F.col("start"), F.col("end"), first, F.least(first + rest, length)) + overlap(
         F.col("start"), F.col("end"), F.lit(0), F.greatest(F.lit(0), first + rest - length))
-    return (placed.join(quotas, ["gone", "name", "shard"]).withColumn("taken", taken.cast("long"))
-            .join(seated.select("gone", "name", "source_size", "target"), ["gone", "name"])
-            .select("doc_id", F.when(~F.col("gone"), F.col("name")).alias("source"), "size", "source_size", "target", "taken"))
+    return placed.join(shard_words(shards, block, most), ["gone", "name", "shard"]).select(
+        "doc_id", F.when(~F.col("gone"), F.col("name")).alias("source"), "size", "source_size", "target", taken.cast("long").alias("taken"))

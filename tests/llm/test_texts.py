@@ -271,3 +271,22 @@ def test_language_probabilities_sum_to_one():
     for context in grams[:, :2][:10]:
         every = np.array([[*context, c] for c in range(97, 101)], dtype=np.uint32)
         assert abs(model.probability(every).sum() - 1) < 1e-9
+
+
+@pytest.mark.parametrize("blocks", [1 << 20, 400, 3])
+def test_sources_take_their_targets_at_any_block_size(spark, blocks, monkeypatch):
+    rng = random.Random(blocks)
+    sizes = {"a": 9000, "b": 300, "c": 7, "d": 2500, "e": 0, "f": 4000}
+    texts, source = [], []
+    for name, words in sizes.items():
+        while words > 0:
+            n = min(words, rng.randrange(1, 90))
+            texts.append("w " * n)
+            source.append(name)
+            words -= n
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 2)
+    rows = mixing.mix(documents(spark, texts, source=source), blocks=blocks).collect()
+    assert len(rows) == len(texts) and all(0 <= r.taken <= 3 * r["size"] for r in rows)
+    for name in set(source):
+        own = [r for r in rows if r.source == name]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 0.5 + 1e-9
