@@ -36,14 +36,10 @@ RECORD = T.StructType([
 
 
 def base32_sha1(payload: Column) -> Column:
-    """Base32 of the SHA-1: 32 characters of five bits, each taken from two hexadecimal digits."""
+    """Base32 of the SHA-1: four numbers of 40 bits, each eight characters of five bits."""
     digest = F.sha1(payload)
-    signs = []
-    for i in range(32):
-        nibble, shift = divmod(5 * i, 4)
-        byte = F.conv(F.substring(digest, nibble + 1, 2), 16, 10).cast("int")
-        signs.append(F.substring(F.lit(BASE32), F.shiftright(byte, 3 - shift).bitwiseAND(F.lit(31)) + 1, F.lit(1)))
-    return F.concat(*signs)
+    parts = [F.conv(F.substring(digest, 10 * i + 1, 10), 16, 10).cast("long") for i in range(4)]
+    return F.concat(*[F.substring(F.lit(BASE32), F.shiftright(p, 35 - 5 * j).bitwiseAND(F.lit(31)).cast("int") + 1, F.lit(1)) for p in parts for j in range(8)])
 
 
 def urn(*parts: Column) -> Column:
@@ -167,17 +163,28 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One row per response or revisit: ``capture_id, target_uri, date, response, request, metadata``, the last three nested."""
-    replies = records.filter(F.col("kind").isin("response", "revisit"))
-    others = records.filter(F.col("kind").isin("request", "metadata")).select(
-        "record_id", "kind", "fields", F.explode("concurrent_to").alias("near"))
-    links = others.select(F.col("record_id").alias("_via"), F.col("near").alias("_far"))
-    reached = others.join(links, F.col("near") == F.col("_via"), "left").withColumn("capture_id", F.coalesce("_far", "near"))
-    side = lambda kind: F.max_by(F.when(F.col("kind") == kind, F.struct("record_id", "fields")),
-                                 F.when(F.col("kind") == kind, F.col("record_id"))).alias(kind)
-    gathered = reached.groupBy("capture_id").agg(side("request"), side("metadata"))
-    reply = F.struct("kind", "refers_to", "payload_digest", "payload_bytes", "payload", "fields").alias("response")
-    return replies.select(F.col("record_id").alias("capture_id"), "target_uri", "date", reply).join(gathered, "capture_id", "left")
+    """One row per response or revisit: ``capture_id, target_uri, date, response, request, metadata``, the last three nested.
+
+    A reply is known by its own id, the other records by what they are concurrent to, so one shuffle brings a capture together. Records that name another
+    record instead of the reply are left over there, and follow in a join of their own; it finds the captures where they are.
+    """
+    is_reply = F.col("kind").isin("response", "revisit")
+    keys = F.when(is_reply, F.array("record_id")).when(F.col("kind").isin("request", "metadata"), F.col("concurrent_to"))
+    dealt = records.withColumn("key", F.explode(keys)).repartition("key")
+    reply = F.struct("kind", "refers_to", "payload_digest", "payload_bytes", "payload", "fields", "target_uri", "date")
+    best = lambda name, test, value: F.max_by(F.when(test, value), F.when(test, F.col("record_id"))).alias(name)
+    side = lambda kind: best(kind, F.col("kind") == kind, F.struct("record_id", "fields"))
+    grouped = dealt.groupBy("key").agg(best("reply", is_reply, reply), F.sum(is_reply.cast("long")).alias("n"), side("request"), side("metadata"),
+                                       F.collect_set(F.when(~is_reply, F.col("record_id"))).alias("ids"))
+    met = grouped.filter("reply IS NOT NULL")
+    astray = grouped.filter("reply IS NULL").select(F.col("key").alias("_near"), F.col("request").alias("_request"), F.col("metadata").alias("_metadata"))
+    links = grouped.select(F.explode("ids").alias("_via"), F.col("key").alias("_far"))
+    later = lambda kind: F.max_by(f"_{kind}", f"_{kind}.record_id").alias(f"_{kind}")
+    found = astray.join(links, F.col("_near") == F.col("_via")).groupBy("_far").agg(later("request"), later("metadata"))
+    whole = met.join(found, F.col("key") == F.col("_far"), "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    shown = F.col("reply").dropFields("target_uri", "date").alias("response")
+    return whole.select(F.col("key").alias("capture_id"), F.col("reply.target_uri").alias("target_uri"), F.col("reply.date").alias("date"), shown,
+                        F.coalesce("request", "_request").alias("request"), F.coalesce("metadata", "_metadata").alias("metadata"))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
