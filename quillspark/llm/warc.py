@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import small_side
 from .shared import as_table, shared_path, stored
 
 RECORDS_PER_FILE = 6_000
@@ -57,15 +58,18 @@ def record(kind: Column, record_id: Column, headers: list[Column], block: Column
 
 def write_archives(pages: DataFrame, path: str, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html",
                    smallest_revisit: int = 0, date: str = EPOCH, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write three records per row. Payloads of at least ``smallest_revisit`` bytes that occur more than once are stored once."""
+    """Write three records per row. Payloads of at least ``smallest_revisit`` bytes that occur more than once are stored once.
+
+    Only the digests of payloads that occur more than once are joined, so up to ``BROADCAST_ROWS`` of them no payload is shuffled.
+    """
     url = F.coalesce(F.col(url_column).cast("string"), F.lit(""))
     rows = pages.select(
         F.col(id_column).cast("long").alias("id"), F.when(url.rlike(r"[\x00-\x20\x7F]"), F.url_encode(url)).otherwise(url).alias("url"),
         F.coalesce(F.col(payload_column).cast("string"), F.lit("")).alias("payload")).withColumn("digest", base32_sha1(F.col("payload")))
-    same = stored(rows.groupBy("digest").agg(F.max(F.struct("id", "url")).alias("first")), "payloads")
+    same = rows.groupBy("digest").agg(F.max(F.struct("id", "url")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     n = F.octet_length("payload")
-    with_first = rows.join(same, "digest")
-    is_first = (n < smallest_revisit) | F.struct("id", "url").eqNullSafe(F.col("first"))
+    with_first = rows.join(small_side(stored(same, "payloads")), "digest", "left")
+    is_first = (n < smallest_revisit) | F.col("first").isNull() | F.struct("id", "url").eqNullSafe(F.col("first"))
     own = urn(F.col("id"), F.col("url"), F.col("digest"))
     stored_at = urn(F.col("first.id"), F.col("first.url"), F.col("digest"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), n.cast("string"), F.lit("\r\n\r\n"))
@@ -176,6 +180,7 @@ def captures(records: DataFrame) -> DataFrame:
     side = lambda kind: best(kind, F.col("kind") == kind, F.struct("record_id", "fields"))
     grouped = dealt.groupBy("key").agg(best("reply", is_reply, reply), F.sum(is_reply.cast("long")).alias("n"), side("request"), side("metadata"),
                                        F.collect_set(F.when(~is_reply, F.col("record_id"))).alias("ids"))
+    grouped = stored(grouped, "grouped")  # read three times below
     met = grouped.filter("reply IS NOT NULL")
     astray = grouped.filter("reply IS NULL").select(F.col("key").alias("_near"), F.col("request").alias("_request"), F.col("metadata").alias("_metadata"))
     links = grouped.select(F.explode("ids").alias("_via"), F.col("key").alias("_far"))
