@@ -170,7 +170,7 @@ def captures(records: DataFrame) -> DataFrame:
     """One row per response or revisit: ``capture_id, target_uri, date, response, request, metadata``, the last three nested.
 
     A reply is known by its own id, the other records by what they are concurrent to, so one shuffle brings a capture together. Records that name another
-    record instead of the reply are left over there, and follow in a join of their own; it finds the captures where they are.
+    record instead of the reply are left over there, and follow in a join of their own, a broadcast one up to ``BROADCAST_ROWS`` of them.
     """
     is_reply = F.col("kind").isin("response", "revisit")
     keys = F.when(is_reply, F.array("record_id")).when(F.col("kind").isin("request", "metadata"), F.col("concurrent_to"))
@@ -186,7 +186,7 @@ def captures(records: DataFrame) -> DataFrame:
     links = grouped.select(F.explode("ids").alias("_via"), F.col("key").alias("_far"))
     later = lambda kind: F.max_by(f"_{kind}", f"_{kind}.record_id").alias(f"_{kind}")
     found = astray.join(links, F.col("_near") == F.col("_via")).groupBy("_far").agg(later("request"), later("metadata"))
-    whole = met.join(found, F.col("key") == F.col("_far"), "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    whole = met.join(small_side(stored(found, "indirect")), F.col("key") == F.col("_far"), "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
     shown = F.col("reply").dropFields("target_uri", "date").alias("response")
     return whole.select(F.col("key").alias("capture_id"), F.col("reply.target_uri").alias("target_uri"), F.col("reply.date").alias("date"), shown,
                         F.coalesce("request", "_request").alias("request"), F.coalesce("metadata", "_metadata").alias("metadata"))
