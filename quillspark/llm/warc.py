@@ -180,7 +180,7 @@ def captures(records: DataFrame) -> DataFrame:
     side = lambda kind: best(kind, F.col("kind") == kind, F.struct("record_id", "fields"))
     grouped = dealt.groupBy("key").agg(best("reply", is_reply, reply), F.sum(is_reply.cast("long")).alias("n"), side("request"), side("metadata"),
                                        F.collect_set(F.when(~is_reply, F.col("record_id"))).alias("ids"))
-    grouped = stored(grouped, "grouped")  # read three times below
+    grouped = stored(grouped, "grouped", "zstd")  # read three times below
     met = grouped.filter("reply IS NOT NULL")
     astray = grouped.filter("reply IS NULL").select(F.col("key").alias("_near"), F.col("request").alias("_request"), F.col("metadata").alias("_metadata"))
     links = grouped.select(F.explode("ids").alias("_via"), F.col("key").alias("_far"))
