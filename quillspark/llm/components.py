@@ -5,28 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import forget, kept
 
 
 def smallest_reachable(pairs: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``pairs`` (columns ``a`` and ``b``, both long), the component being its smallest node.
 
     Each round ties the larger neighbours of a node to the smallest, then the smaller ones. Only nodes' minima are joined back, and both inputs of a
-    join come from stored tables, so that a node with very many links can be split. The rounds end when the pairs form stars.
+    join come from stored tables, so that a node with very many links can be split. The rounds end when the pairs form stars; a round's tables are
+    deleted when the next one's pairs are written.
     """
-    edges = stored(pairs.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
+    spark = pairs.sparkSession
+    edges, path = kept(pairs.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
     state = None
     while True:
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
         if now == state or not now[0]:
             break
-        state = now
-        both = stored(edges.select("v", "u").unionAll(edges.select(F.col("u").alias("v"), F.col("v").alias("u"))), "both")
-        least = stored(both.groupBy(F.col("v").alias("n")).agg(F.min("u").alias("m0")).select("n", F.least("n", "m0").alias("m")), "least")
+        state, done = now, [path]
+        both, path = kept(edges.select("v", "u").unionAll(edges.select(F.col("u").alias("v"), F.col("v").alias("u"))), "both")
+        done.append(path)
+        least, path = kept(both.groupBy(F.col("v").alias("n")).agg(F.min("u").alias("m0")).select("n", F.least("n", "m0").alias("m")), "least")
+        done.append(path)
         large = both.join(least, F.col("v") == F.col("n")).filter((F.col("u") > F.col("v")) & (F.col("u") != F.col("m"))).select(F.col("u").alias("v"), F.col("m").alias("u"))
-        downward = stored(large.unionAll(least.filter(F.col("n") != F.col("m")).select(F.col("n").alias("v"), F.col("m").alias("u"))).distinct(), "large")
-        least = stored(downward.groupBy(F.col("v").alias("n")).agg(F.min("u").alias("m")), "least")
+        downward, path = kept(large.unionAll(least.filter(F.col("n") != F.col("m")).select(F.col("n").alias("v"), F.col("m").alias("u"))).distinct(), "large")
+        done.append(path)
+        least, path = kept(downward.groupBy(F.col("v").alias("n")).agg(F.min("u").alias("m")), "least")
+        done.append(path)
         small = downward.join(least, F.col("v") == F.col("n")).filter(F.col("u") != F.col("m")).select(F.col("u").alias("v"), F.col("m").alias("u"))
-        edges = stored(small.unionAll(least.select(F.col("n").alias("v"), F.col("m").alias("u"))).distinct(), "edges")
+        edges, path = kept(small.unionAll(least.select(F.col("n").alias("v"), F.col("m").alias("u"))).distinct(), "edges")
+        for old in done:
+            forget(spark, old)
     down = edges.select(F.col("v").alias("node"), F.col("u").alias("component"))
     return down.unionAll(down.select(F.col("component").alias("node"), "component").distinct())

@@ -356,7 +356,7 @@ def star_of(nodes: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray
 
 
 def similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    both = common_counts(left, right)
+    both = common_counts(left, right).astype(np.float64)
     union = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :] - both
     return np.nonzero((100 * both >= percent * union) & (both > 0))
 
