@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import nearest
@@ -51,6 +51,23 @@ class NaiveBayes:
         self.mass = mass
         return self
 
+    def save(self, path: str) -> None:
+        spark = SparkSession.active()
+        kind = "string" if isinstance(self.labels[0], str) else "double"
+        spark.createDataFrame(self.table, "feature int, raw array<double>").write.mode("overwrite").parquet(f"{path}/features")
+        spark.createDataFrame(list(zip(range(len(self.labels)), self.labels, self.prior, self.mass)), f"place int, label {kind}, prior double, mass double").write.mode(
+            "overwrite").parquet(f"{path}/classes")
+
+    @classmethod
+    def load(cls, path: str) -> NaiveBayes:
+        spark = SparkSession.active()
+        table = spark.read.parquet(f"{path}/features").orderBy("feature").collect()
+        classes = spark.read.parquet(f"{path}/classes").orderBy("place").collect()
+        made = cls(len(table))
+        made.table = [(r["feature"], r["raw"]) for r in table]
+        made.labels, made.prior, made.mass = ([r[c] for r in classes] for c in ("label", "prior", "mass"))
+        return made
+
     def predict(self, rows: DataFrame, key: str) -> DataFrame:
         """``(key, label, p, score)``; the sums of a row are complete before the shuffle.
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -19,7 +21,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
@@ -28,6 +30,7 @@ from . import metrics, split
 
 DEEPEST = 30
 CHECKPOINT_EVERY = 10
+PARALLEL = 8
 
 # fixed values: the search spaces, as far as Spark's learners know the parameters
 SEARCH = {
@@ -38,13 +41,6 @@ SEARCH = {
                       "class_weight": ["balanced", None]},
     "Logistic Regression": {"C": [0.01, 0.1, 1, 10, 100], "penalty": ["l1", "l2"], "class_weight": ["balanced", None]},
 }
-REDUCED = {
-    "SVM": {"C": [1, 10], "kernel": ["linear"]},
-    "Naive Bayes": {"alpha": [0.1, 1.0], "fit_prior": [True, False]},
-    "Random Forest": {"n_estimators": [50], "max_depth": [10, None]},
-    "Logistic Regression": {"C": [0.1, 1, 10], "penalty": ["l2"]},
-}
-
 Predictor = Callable[[DataFrame], DataFrame]
 
 
@@ -97,7 +93,7 @@ def linear_regression(train: DataFrame, label: str = "label") -> Model:
     return LinearRegression(labelCol=label, regParam=0.0, solver="normal").fit(train)
 
 
-def kernel_map(rows: DataFrame, kernel: str, gamma: float, components: int = 256, seed: int = V.SEED) -> DataFrame:
+def kernel_map(rows: DataFrame, kernel: str, gamma: float, components: int = 256, seed: int = V.SEED, size: int | None = None) -> DataFrame:
     """Features whose dot product is, or approaches, the kernel.
 
     Random Fourier features (Rahimi and Recht, 2007) for ``rbf``, a tensor sketch (Pham and Pagh, 2013) of degree 3 for ``poly``, ``(gamma x.z)^3``.
@@ -106,7 +102,7 @@ def kernel_map(rows: DataFrame, kernel: str, gamma: float, components: int = 256
         return rows
     if kernel not in ("rbf", "poly"):
         raise ValueError("kernel must be 'linear', 'rbf' or 'poly'")
-    size = rows.select("features").head()["features"].size
+    size = size or rows.select("features").head()["features"].size
     rng = np.random.default_rng(seed)
     if kernel == "poly":
         places = rng.integers(0, components, (3, size))
@@ -121,7 +117,9 @@ def kernel_map(rows: DataFrame, kernel: str, gamma: float, components: int = 256
                 return type(x)([])
             rows_ = np.stack(x.to_list())
             product_ = np.prod([np.fft.rfft(rows_ @ s, axis=1) for s in held.value], axis=0)
-            return type(x)(list(np.fft.irfft(product_, n=components, axis=1)))
+            made = np.fft.irfft(product_, n=components, axis=1)
+            made[np.abs(made) < 1e-9 * np.linalg.norm(made, axis=1, keepdims=True)] = 0.0  # the solver would scale up what rounding leaves in empty places
+            return type(x)(list(made))
 
         return rows.withColumn("features", array_to_vector(sketch(vector_to_array("features"))))
     shared = rows.sparkSession.sparkContext.broadcast(
@@ -147,35 +145,144 @@ def gamma_value(train: DataFrame, gamma: str | float) -> float:
     return 1.0 / (size * sums) if sums else 1.0
 
 
-def support_vectors(train: DataFrame, test: DataFrame, C: float = 1.0, gamma: str | float = "scale", kernel: str = "rbf",
-                    class_weight: str | None = None, max_iter: int = 100) -> DataFrame:
-    """``(id, y, p)`` from one linear machine per class on the kernel's features."""
-    g = 0.0 if kernel == "linear" else gamma_value(train, gamma)
-    held = weighted(train, class_weight)
-    data = kernel_map(held, kernel, g)
-    machine = margin_machine(held.agg(F.sum("w")).head()[0], C, max_iter)
-    if int(train.agg(F.max("label")).head()[0]) < 2:
-        return shown(machine.fit(data), kernel_map(test, kernel, g))
-    return shown(OneVsRest(classifier=machine, weightCol="w", parallelism=4).fit(data), kernel_map(test, kernel, g))
-
-
 def margin_machine(total_weight: float, C: float, max_iter: int = 100) -> LinearSVC:
     """Spark divides the losses by the weights' sum; features are penalised as they are."""
     return LinearSVC(regParam=1.0 / (C * total_weight), maxIter=max_iter, weightCol="w", standardization=False)
 
 
-def margin_probability(train: DataFrame, test: DataFrame, C: float = 1.0) -> DataFrame:
-    """``(id, y, p, probability)`` of a two-class linear machine, by a logistic fit on its margin (Platt scaling)."""
-    machine = margin_machine(train.count(), C).fit(weighted(train, None))
+def coupled(pairwise: np.ndarray) -> np.ndarray:
+    """Class probabilities from pairwise ones (second method of Wu, Lin and Weng, 2004).
+
+    ``pairwise[n, i, j]`` is the probability of class i against j. The p with sum 1 that minimises the squares of ``r_ji p_i - r_ij p_j`` solves a linear system.
+    """
+    n, k, _ = pairwise.shape
+    swapped = pairwise.transpose(0, 2, 1)
+    system = np.ones((n, k + 1, k + 1))
+    system[:, :k, :k] = -swapped * pairwise
+    at = np.arange(k)
+    system[:, at, at] = (np.where(np.eye(k, dtype=bool), 0.0, swapped) ** 2).sum(axis=2)
+    system[:, k, k] = 0
+    wanted = np.zeros((n, k + 1, 1))
+    wanted[:, k] = 1
+    p = np.maximum(np.linalg.solve(system, wanted)[:, :k, 0], 0.0)
+    return p / p.sum(axis=1, keepdims=True)
+
+
+class KernelMachine:
+    """Support vector machines on the kernel's features, one per pair of classes, which vote; with ``probability`` also coupled class probabilities.
+
+    A pair's probability is a logistic function of its margin (Platt, 1999), fitted on margins of rows that the machine has not seen, fold by fold. The
+    machines of all pairs are fitted at the same time and applied in one pass.
+    """
+
+    def __init__(self, C: float = 1.0, gamma: str | float = "scale", kernel: str = "rbf", class_weight: str | None = None, max_iter: int = 100,
+                 probability: bool = False, folds: int = 3, parallel: int = PARALLEL):
+        self.C, self.gamma, self.kernel, self.class_weight, self.max_iter = C, gamma, kernel, class_weight, max_iter
+        self.probability, self.folds, self.parallel = probability, folds, parallel
+
+    def fit(self, train: DataFrame) -> KernelMachine:
+        self.size = train.select("features").head()["features"].size
+        self.scale = 0.0 if self.kernel == "linear" else gamma_value(train, self.gamma)
+        data = kernel_map(weighted(train, self.class_weight), self.kernel, self.scale, size=self.size)
+        square = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x * x)
+        self.norm = math.sqrt(data.agg(F.avg(square)).head()[0] or 1.0)  # rows of length one on average; the solver's first steps fail on long ones
+        short = array_to_vector(F.transform(vector_to_array("features"), lambda x: x / self.norm))
+        data = split.random_folds(data, "id", self.folds).select("label", short.alias("features"), "w", "fold").persist()
+        self.classes = [r[0] for r in data.select("label").distinct().orderBy("label").collect()]
+        pairs = [(a, b) for i, a in enumerate(self.classes) for b in self.classes[i + 1:]]
+        with ThreadPoolExecutor(self.parallel) as pool:
+            found = list(pool.map(lambda p: self._pair(data, *p), pairs))
+        data.unpersist()
+        self.axes = np.array([f[0] for f in found]).reshape(len(found), -1) / self.norm
+        self.offset = np.array([f[1] for f in found])
+        self.platt = np.array([f[2] for f in found]).reshape(-1, 2)
+        return self
+
+    def _machine(self, rows: DataFrame) -> tuple[np.ndarray, float]:
+        model = margin_machine(rows.agg(F.sum("w")).head()[0], self.C * self.norm ** 2, self.max_iter).fit(rows)
+        return model.coefficients.toArray(), model.intercept
+
+    def _pair(self, data: DataFrame, a: float, b: float) -> tuple[np.ndarray, float, tuple[float, float]]:
+        rows = data.filter(F.col("label").isin(a, b)).withColumn("label", (F.col("label") == a).cast("double"))
+        axes, offset = self._machine(rows)
+        if not self.probability:
+            return axes, offset, (0.0, 0.0)
+        unseen = None
+        for f in range(self.folds):
+            learnt = rows.filter(F.col("fold") != f)
+            if learnt.select("label").distinct().count() < 2:
+                continue
+            one, shift = self._machine(learnt)
+            margin = F.aggregate(F.zip_with(vector_to_array("features"), F.lit(one.tolist()), lambda x, y: x * y), F.lit(float(shift)), lambda s, x: s + x)
+            part = rows.filter(F.col("fold") == f).select("label", array_to_vector(F.array(margin)).alias("features"))
+            unseen = part if unseen is None else unseen.unionAll(part)
+        if unseen is None or unseen.select("label").distinct().count() < 2:
+            return axes, offset, (1.0, 0.0)
+        fitted = LogisticRegression(standardization=False, regParam=1e-3).fit(unseen)
+        return axes, offset, (float(fitted.coefficients[0]), fitted.intercept)
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        """``(id, y, p)`` and, with ``probability``, ``probabilities`` in order of ``classes``."""
+        k, shared = len(self.classes), rows.sparkSession.sparkContext.broadcast((self.axes, self.offset, self.platt))
+        first, second = np.triu_indices(k, 1)
+        wants = self.probability
+
+        @F.pandas_udf("struct<place: int, probabilities: array<double>>")
+        def judged(x: pd.Series) -> pd.DataFrame:
+            axes, offset, platt = shared.value
+            n = len(x)
+            margins = np.stack(x.to_list()) @ axes.T + offset if n and len(axes) else np.zeros((n, len(axes)))
+            votes = np.zeros((n, k))
+            np.add.at(votes.T, first, (margins > 0).T)
+            np.add.at(votes.T, second, (margins <= 0).T)
+            shown: list = [None] * n
+            if wants and n:
+                pairwise = np.full((n, k, k), 0.5)
+                r = np.clip(1.0 / (1.0 + np.exp(-(margins * platt[:, 0] + platt[:, 1]))), 1e-7, 1 - 1e-7)
+                pairwise[:, first, second], pairwise[:, second, first] = r, 1 - r
+                shown = list(coupled(pairwise))
+            return pd.DataFrame({"place": votes.argmax(axis=1), "probabilities": shown})
+
+        lifted = kernel_map(rows, self.kernel, self.scale, size=self.size).select("id", "label", judged(vector_to_array("features")).alias("j"))
+        named = F.get(F.lit([float(c) for c in self.classes]), F.col("j.place"))
+        shown = [F.col("j.probabilities").alias("probabilities")] if wants else []
+        return lifted.select("id", F.col("label").alias("y"), named.alias("p"), *shown)
+
+    def save(self, path: str) -> None:
+        """One row for the machine, one per pair of classes."""
+        spark = SparkSession.active()
+        spark.createDataFrame([(self.kernel, float(self.scale), int(self.size), [float(c) for c in self.classes], self.probability)],
+                              "kernel string, scale double, size int, classes array<double>, probability boolean").write.mode("overwrite").parquet(f"{path}/machine")
+        rows = [(i, a.tolist(), float(o), p.tolist()) for i, (a, o, p) in enumerate(zip(self.axes, self.offset, self.platt))]
+        spark.createDataFrame(rows, "pair int, axes array<double>, offset double, platt array<double>").write.mode("overwrite").parquet(f"{path}/pairs")
+
+    @classmethod
+    def load(cls, path: str) -> KernelMachine:
+        spark = SparkSession.active()
+        r = spark.read.parquet(f"{path}/machine").head()
+        made = cls(kernel=r["kernel"], probability=r["probability"])
+        made.scale, made.size, made.classes = r["scale"], r["size"], list(r["classes"])
+        pairs = spark.read.parquet(f"{path}/pairs").orderBy("pair").collect()
+        made.axes, made.offset, made.platt = (np.array([q[c] for q in pairs]) for c in ("axes", "offset", "platt"))
+        return made
+
 
-    def margin(rows: DataFrame) -> DataFrame:
-        raw = F.get(vector_to_array("rawPrediction"), F.lit(1))
-        scored = machine.transform(rows).select("id", "label", raw.alias("m"))
-        return scored.withColumn("features", array_to_vector(F.array("m")))
+def support_vectors(train: DataFrame, test: DataFrame, C: float = 1.0, gamma: str | float = "scale", kernel: str = "rbf",
+                    class_weight: str | None = None, max_iter: int = 100) -> DataFrame:
+    """``(id, y, p)`` of a :class:`KernelMachine` for two classes; for more, of one machine per class against the rest, which takes fewer fits."""
+    if int(train.agg(F.max("label")).head()[0]) < 2:
+        return KernelMachine(C, gamma, kernel, class_weight, max_iter).fit(train).predict(test)
+    g = 0.0 if kernel == "linear" else gamma_value(train, gamma)
+    held = weighted(train, class_weight)
+    machine = margin_machine(held.agg(F.sum("w")).head()[0], C, max_iter)
+    fitted = OneVsRest(classifier=machine, weightCol="w", parallelism=PARALLEL).fit(kernel_map(held, kernel, g))
+    return shown(fitted, kernel_map(test, kernel, g))
 
-    platt = LogisticRegression(standardization=False).fit(margin(train))
-    return platt.transform(margin(test)).select("id", F.col("label").alias("y"), F.col("prediction").alias("p"),
-                                                F.get(vector_to_array("probability"), F.lit(1)).alias("probability"))
+
+def margin_probability(train: DataFrame, test: DataFrame, C: float = 1.0, kernel: str = "linear", gamma: str | float = "scale") -> DataFrame:
+    """``(id, y, p, probability)``: the probability of the last class."""
+    machine = KernelMachine(C, gamma, kernel, probability=True).fit(train)
+    return machine.predict(test).select("id", "y", "p", F.element_at("probabilities", -1).alias("probability"))
 
 
 class AdaBoost:
@@ -216,6 +323,19 @@ class AdaBoost:
         self.weights = data.select("id", "w")
         return self
 
+    def save(self, path: str) -> None:
+        PipelineModel(self.stumps).write().overwrite().save(f"{path}/stumps")
+        SparkSession.active().createDataFrame([(self.classes, self.votes, self.errors)], "classes int, votes array<double>, errors array<double>").write.mode(
+            "overwrite").parquet(f"{path}/votes")
+
+    @classmethod
+    def load(cls, path: str) -> AdaBoost:
+        made = cls()
+        made.stumps = PipelineModel.load(f"{path}/stumps").stages
+        r = SparkSession.active().read.parquet(f"{path}/votes").head()
+        made.classes, made.votes, made.errors, made.rounds = r["classes"], list(r["votes"]), list(r["errors"]), len(made.stumps)
+        return made
+
     def predict(self, rows: DataFrame) -> DataFrame:
         tally = [F.lit(0.0)] * self.classes
         data = rows.select("id", "label", "features")
@@ -245,36 +365,54 @@ def predictor(name: str, train: DataFrame, params: dict) -> Predictor:
     raise ValueError(f"unknown model {name}")
 
 
+def fold_scores(runs: list[tuple[tuple, Callable]], folded: DataFrame, parallel: int = PARALLEL) -> dict[tuple, tuple[float, float]]:
+    """``(accuracy, f1)`` for each ``(key, fit_predict)`` and fold, as ``{(*key, fold): ...}``.
+
+    Fits run at the same time, ``parallel`` of them, over folds that the caller keeps in memory; each gives back two numbers.
+    """
+    folds = [r[0] for r in folded.select("fold").distinct().orderBy("fold").collect()]
+    sides = {f: (folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)) for f in folds}
+
+    def judge(task: tuple) -> tuple[tuple, tuple[float, float]]:
+        key, run, fold = task
+        r = metrics.scores(run(*sides[fold]), "y", "p").head()
+        return (*key, fold), (r["accuracy"], r["f1"])
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return dict(pool.map(judge, [(key, run, f) for key, run in runs for f in folds]))
+
+
 def cross_validate(name: str, folded: DataFrame, params: dict, fit_predict: Callable | None = None) -> DataFrame:
     """``(fold, accuracy, f1)`` over the ``fold`` column."""
     run = fit_predict or (lambda train, rows: predictor(name, train, params)(rows))
-    folds = [r[0] for r in folded.select("fold").distinct().orderBy("fold").collect()]
-    parts = [run(folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)).withColumn("fold", F.lit(f)) for f in folds]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return metrics.scores(whole, "y", "p", "fold")
+    found = fold_scores([((), run)], folded)
+    return folded.sparkSession.createDataFrame([(f, a, s) for (f,), (a, s) in sorted(found.items())], "fold int, accuracy double, f1 double")
 
 
 def grid(space: dict) -> list[dict]:
-    return [dict(zip(space, values)) for values in product(*space.values())]
-
-
-def tune(name: str, folded: DataFrame, full: bool = False, fit_predict: Callable | None = None) -> DataFrame:
-    """``(model, params, cv_mean, cv_std, place)``: mean weighted f1 per parameter set, the best one first."""
-    table = None
-    for i, params in enumerate(grid((SEARCH if full else REDUCED)[name])):
-        if params.get("kernel") == "linear" and params.get("gamma", SEARCH["SVM"]["gamma"][0]) != SEARCH["SVM"]["gamma"][0]:
-            continue  # gamma has no part in a linear kernel
-        chosen = (lambda train, rows, p=params: fit_predict(train, rows, p)) if fit_predict else None
-        row = metrics.fold_summary(cross_validate(name, folded, params, chosen)).select(
-            F.lit(name).alias("model"), F.lit(i).alias("order"), F.lit(repr(params)).alias("params"), "cv_mean", "cv_std")
-        table = row if table is None else table.unionByName(row)
+    """Every combination; ``gamma`` has no part in a linear kernel, so there only its first value counts."""
+    made = [dict(zip(space, values)) for values in product(*space.values())]
+    return [p for p in made if p.get("kernel") != "linear" or p.get("gamma") in (None, space.get("gamma", [None])[0])]
+
+
+def tune(name: str, folded: DataFrame, space: dict | None = None, fit_predict: Callable | None = None, parallel: int = PARALLEL) -> DataFrame:
+    """``(model, order, params, cv_mean, cv_std)``: mean and deviation of weighted f1 per parameter set, the best one first. Searches all of ``SEARCH``
+    unless given a ``space``."""
+    sets = grid(SEARCH[name] if space is None else space)
+    run = fit_predict or (lambda train, rows, p: predictor(name, train, p)(rows))
+    found = fold_scores([((i,), lambda train, rows, p=p: run(train, rows, p)) for i, p in enumerate(sets)], folded, parallel)
+    f1 = {i: [s for (n, _), (_, s) in found.items() if n == i] for i in range(len(sets))}
+    rows = [(name, i, repr(p), float(np.mean(f1[i])), float(np.std(f1[i]))) for i, p in enumerate(sets)]
+    table = folded.sparkSession.createDataFrame(rows, "model string, order int, params string, cv_mean double, cv_std double")
     return table.orderBy(F.desc("cv_mean"), "order")
 
 
-def save(model: Model, path: str) -> None:
-    PipelineModel([model]).write().overwrite().save(path)
+def save(model, path: str) -> None:
+    """A Spark model in Spark's format; naive Bayes and AdaBoost by their own ``save``."""
+    if isinstance(model, Model):
+        PipelineModel([model]).write().overwrite().save(path)
+    else:
+        model.save(path)
 
 
 def load(path: str) -> Model:

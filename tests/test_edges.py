@@ -324,3 +324,39 @@ def test_itemsets_in_rounds_match_counting(spark, monkeypatch):
     monkeypatch.setattr(rules, "CANDIDATES", 7)
     assert {tuple(r["items"]): r["freq"] for r in rules.frequent_itemsets(rows, 0.012, max_len=2).collect()} == {c: n for c, n in want.items() if len(c) < 3}
     assert rules.frequent_itemsets(rows.limit(0), 0.012).count() == 0
+
+
+def test_coupling_recovers_consistent_probabilities():
+    rng = np.random.default_rng(1)
+    p = rng.dirichlet(np.ones(5), size=40)
+    pairwise = p[:, :, None] / (p[:, :, None] + p[:, None, :])
+    assert np.allclose(learners.coupled(pairwise), p)
+
+
+@pytest.mark.parametrize("kernel", ["rbf", "poly"])
+def test_kernel_machine(spark, kernel):
+    rng = np.random.default_rng(4)
+    middle = np.array([[2.0, 0, 0], [0, 2, 0], [0, 0, 2]])
+    rows = [(i, float(i % 3), (middle[i % 3] + rng.normal(size=3) * 0.3).tolist()) for i in range(90)]
+    rows = learners.to_vectors(spark.createDataFrame(rows, "id long, label double, vector array<double>").repartition(2)).persist()
+    machine = learners.KernelMachine(kernel=kernel, probability=kernel == "rbf", max_iter=20).fit(rows)
+    found = machine.predict(rows).collect()
+    assert np.mean([r["y"] == r["p"] for r in found]) > 0.9
+    path = scratch_path(spark, "machine")
+    artefacts.save_model(machine, path)
+    assert learners.KernelMachine.load(path).predict(rows).collect() == found
+    if kernel == "rbf":
+        probabilities = np.array([r["probabilities"] for r in found])
+        assert np.allclose(probabilities.sum(axis=1), 1) and np.mean(probabilities.argmax(axis=1) == [r["y"] for r in found]) > 0.9
+
+
+def test_own_models_reload(spark):
+    rows = line(spark)
+    boosted = learners.AdaBoost(4).fit(rows)
+    path = scratch_path(spark, "boosted")
+    artefacts.save_model(boosted, path)
+    assert learners.AdaBoost.load(path).predict(rows).collect() == boosted.predict(rows).collect()
+    sparse = spark.createDataFrame([(i, float(i % 2), [i % 2, 2], [1.0, 0.5]) for i in range(12)], "id long, label double, idx array<int>, vector array<double>")
+    bayes = classify.NaiveBayes(4).fit(sparse)
+    artefacts.save_model(bayes, path + "-b")
+    assert sorted(classify.NaiveBayes.load(path + "-b").predict(sparse, "id").collect()) == sorted(bayes.predict(sparse, "id").collect())
