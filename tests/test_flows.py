@@ -3,14 +3,16 @@
 import os
 import random
 
-from quillspark.operators import learners
+from pyspark.sql import functions as F
+
+from quillspark.operators import classify
 from quillspark.operators.collection import Collection
 from quillspark.plans import books, reviews
 from quillspark.session import scratch_path
 from quillspark.sources import artefacts
 
 SUBJECTS = {"garden.pdf": "soil seeds water roots flowers spring leaves shade".split(), "motor.pdf": "engine wheels brakes petrol pistons gears clutch belts".split()}
-SMALL = {"SVM": {"C": [1], "kernel": ["linear"]}, "Naive Bayes": {"alpha": [1.0]}}
+SMALL = {"Naive Bayes": {"alpha": [0.1, 1.0]}}
 
 
 def text(rng, words, n=60):
@@ -25,24 +27,27 @@ def test_books_flow(spark):
     board = {r["model"]: r for r in results.leaderboard.collect()}
     assert set(board) == set(SMALL) and all(r["f1"] > 0.9 for r in board.values())
     assert books.best_model(results).count() == 1 and set(books.reports(results)) == set(SMALL)
-    assert sorted(os.listdir(f"{folder}/models")) == ["naive_bayes", "projection", "svm", "vocabulary"]
+    assert sorted(os.listdir(f"{folder}/models")) == ["naive_bayes", "projection", "vocabulary"]
     assert artefacts.load_vocabulary(spark, f"{folder}/models/vocabulary") == results.fitted["vocabulary"]
-    assert learners.KernelMachine.load(f"{folder}/models/svm").classes == [0.0, 1.0]
+    assert classify.NaiveBayes.load(f"{folder}/models/naive_bayes").labels == [0.0, 1.0]
     questions = spark.createDataFrame([(1, "Which petrol engine has brakes?"), (2, "zzz")], "q_id long, query string")
     first = books.answer_questions(results, questions).orderBy("q_id").collect()
     again = Collection(spark, f"{folder}/collection").answer(questions).orderBy("q_id").collect()
     assert first == again and "From motor.pdf" in first[0]["answer"] and first[1]["best_score"] == 0
 
 
-def test_reviews_flow(spark):
+def test_reviews_features_and_models(spark):
     rng = random.Random(2)
     words = {5.0: "great lovely perfect bought happy cats".split(), 1.0: "broken awful refund returned angry cat".split(), 3.0: "average fine plain usual nothing cats".split()}
     rows = [(i, text(rng, words[r], 12), r) for i, r in enumerate([5.0, 1.0, 3.0] * 30)] + [(100, None, 5.0), (101, "lost rating", None)]
+    given = spark.createDataFrame(rows, "row_id long, reviewText string, overall double").repartition(2)
+    p, models = reviews.prepare(given, 6), {}
+    assert {r["overall"]: r["n"] for r in p["rows"].groupBy("overall").agg(F.count("*").alias("n")).collect()} == {1: 30, 3: 30, 5: 30}
+    assert "cats" not in {t for r in p["rows"].collect() for t in r["tokens"]}
+    assert reviews.regress(p["dense"], models).count() == 3
+    placed, terms = reviews.clusters(p, 3, models)
+    assert placed.count() == 90 and terms.count() > 0
     folder = scratch_path(spark, "reviews")
-    out = reviews.run_reviews(spark.createDataFrame(rows, "row_id long, reviewText string, overall double"), folder, 0.2, 2, rounds=2, trees=3, n_components=6)
-    assert {r["overall"]: r["n"] for r in out["ratings"].collect()} == {1: 30, 3: 30, 5: 30}
-    found = {r["model"]: r["accuracy"] for r in out["classification"].collect()}
-    assert len(found) == 10 and all(a > 0.7 for a in found.values())
-    assert out["processed"].count() == 90 and "cats" not in {t for r in out["processed"].collect() for t in r["tokens"]}
-    assert sorted(os.listdir(f"{folder}/models")) == ["bagging", "count_vec", "kmeans", "logistic_regression", "mlp_classifier", "multiple_linear_regression", "pca", "tfidf"]
-    assert artefacts.load_model(f"{folder}/models/bagging").getNumTrees == 10
+    reviews.save_models(p, models, folder)
+    assert sorted(os.listdir(folder)) == ["count_vec", "kmeans", "multiple_linear_regression", "pca", "tfidf"]
+    assert artefacts.load_projection(spark, f"{folder}/pca").axes.shape == p["axes"].axes.shape
