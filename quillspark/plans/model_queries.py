@@ -9,14 +9,12 @@ from ..operators import classify as C
 from ..operators import cluster as CL
 from ..operators import features as FT
 from ..operators import learners as L
-from ..operators import metrics as M
 from ..operators import rules as R
 from ..operators import split as SP
 from ..operators import vectorize as VZ
 from ..operators import words as WD
 from ..session import stored
 from ..sources import tables
-from . import books
 from . import sqltext as S
 from .feature_queries import hash_sql, points
 from .registry import query
@@ -156,25 +154,9 @@ def feature_importance(spark, folder):
 
 @query("grid_search")
 def grid_search(spark, folder):
-    """The whole search space of the logistic regression: 20 sets, five folds each."""
+    """A space given by the caller: three sets, five folds each. Without one, ``tune`` searches all of ``SEARCH``."""
     train, _ = labelled(spark, folder)
-    return L.tune("Logistic Regression", SP.stratified_folds(train, "label", "id").persist())
-
-
-LEADER_SPACES = {"SVM": {"C": [1], "kernel": ["linear"]}, "Naive Bayes": {"alpha": [0.1, 1.0]}, "Random Forest": {"n_estimators": [50], "max_depth": [10]},
-                 "Logistic Regression": {"C": [1, 10]}}
-
-
-@query("book_leaderboard")
-def book_leaderboard(spark, folder):
-    """The four models of the book flow, tuned over ``LEADER_SPACES``, on the language of the chunks."""
-    chunks = chunks_of(spark, folder).select("chunk_id", F.col("lang").alias("label"), "text")
-    return books.train(stored(chunks, "chunks"), spaces=LEADER_SPACES).leaderboard
-
-
-@query("book_best_model")
-def book_best_model(spark, folder):
-    return M.best_model(book_leaderboard(spark, folder), "model_order")
+    return L.tune("Logistic Regression", SP.stratified_folds(train, "label", "id").persist(), {"C": [0.1, 1, 10], "penalty": ["l2"]})
 
 
 @query("kmeans")
