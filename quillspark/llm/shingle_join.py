@@ -26,6 +26,7 @@ copies. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +42,6 @@ from .shared import as_table, small_batches, stored
 
 WORDS, PERCENT = 5, 80
 BATCH = 2 << 20
-CACHED_WORDS = 300_000
 BLOCK = 512
 COLUMNS = 8_192
 BUCKET_BYTES = 4 << 20
@@ -50,38 +50,72 @@ COMMON = 0.005
 SEEKERS = 64
 PART_BYTES = 12 << 20
 LOW48 = np.uint64((1 << 48) - 1)
+CHUNK = 1 << 20
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+STEP = np.uint64(0x9E3779B97F4A7C15)
+POWERS = np.ones(1, dtype=np.uint64)
 ODD = [np.uint64((0xD6E8FEB86659FD93 * (2 * j + 1) ** 3 + 2 * j) % (1 << 64) | 1) for j in range(16)]
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = value
-        return value
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_sets(texts: list[str | None], known: WordHashes, words: int = WORDS) -> list[np.ndarray]:
+LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * ODD[13])
+
+
+def powers(count: int) -> np.ndarray:
+    """``STEP`` to the powers 0 to ``count - 1`` modulo 2 to the 64th, from a table that grows as longer words come."""
+    global POWERS
+    if count > len(POWERS):
+        POWERS = np.cumprod(np.append(np.uint64(1), np.full(2 * count - 1, STEP)))
+    return POWERS[:count]
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash and the place of every word: a mix of the sum of ``LETTERS`` times the power of ``STEP`` for the byte's place in the word, and the length."""
+    hashes, places, low = [], [], 0
+    while low < len(raw):
+        high = len(raw)
+        if high - low > CHUNK:  # cut at white space, further on where a word is longer
+            gap = SPACE.search(raw, low + CHUNK)
+            high = gap.start() + 1 if gap else high
+        letters = np.frombuffer(raw, np.uint8, high - low, low)
+        filled = np.append(~BLANK[letters], False)
+        edges = np.flatnonzero(np.diff(filled, prepend=False))
+        first, sizes = edges[::2], edges[1::2] - edges[::2]
+        if len(first):
+            begins = np.cumsum(sizes) - sizes
+            within = np.arange(sizes.sum()) - np.repeat(begins, sizes)
+            sums = np.add.reduceat(LETTERS[letters[filled[:-1]]] * powers(int(sizes.max()))[within], begins)
+            hashes.append(mixed(sums + sizes.astype(np.uint64) * ODD[12]))
+            places.append(first + low)
+        low = high
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
     """The sorted hashes of each text's distinct shingles. Only A to Z are lower-cased, only ASCII white space separates words."""
-    found = []
-    for text in texts:
-        parts = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        w = np.fromiter(map(known.__getitem__, parts), dtype=np.uint64, count=len(parts))
-        size = min(words, len(w))
-        if not size:
-            found.append(w)
+    raw = [text.encode("utf-8", "surrogatepass").lower() if text else b"" for text in texts]
+    begins = np.cumsum([0, *(len(r) + 1 for r in raw)])
+    w, places = word_hashes(b" ".join(raw))
+    cuts = np.searchsorted(places, begins)
+    total = np.full(max(0, len(w) - words + 1), ODD[words], dtype=np.uint64)
+    for j in range(words):
+        total += w[j:j + len(total)] * ODD[j]
+    total, found = mixed(total), []
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        size = high - low
+        if 0 < size < words:
+            found.append(mixed((w[low:high] * np.array(ODD[:size])).sum(keepdims=True) + ODD[size]))
             continue
-        total = np.full(len(w) - size + 1, ODD[size], dtype=np.uint64)
-        for j in range(size):
-            total += w[j:len(w) - size + 1 + j] * ODD[j]
-        found.append(np.unique(mixed(total)))
+        here = np.sort(total[low:high - words + 1]) if size else w[:0]
+        found.append(here[np.append(True, here[1:] != here[:-1])] if len(here) else here)
     return found
 
 
@@ -100,9 +134,9 @@ def counted_sets(docs: DataFrame, common: np.ndarray, words: int, percent: int)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("mark", pa.binary()), ("short", pa.int64()), ("need", pa.int64())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bands, usual = WordHashes(), Bands(percent), Common(shared.value)
+        bands, usual = Bands(percent), Common(shared.value)
         for batch in small_batches(batches, "text", BATCH):
-            sets = shingle_sets(batch.column("text").to_pylist(), known, words)
+            sets = shingle_sets(batch.column("text").to_pylist(), words)
             marks = [mark_of(s) for s in sets]
             yield as_table({"doc_id": batch.column("doc_id"), "n": [len(s) for s in sets], "mark": marks,
                             "short": [m and short_id(m) for m in marks], "need": [needed(s, bands, usual) if len(s) else None for s in sets]}, schema)
@@ -116,9 +150,8 @@ def common_shingles(docs: DataFrame, rows: int, words: int) -> np.ndarray:
     schema = pa.schema([("mark", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in small_batches(batches, "text", BATCH):
-            found = [s for s in shingle_sets(batch.column("text").to_pylist(), known, words) if len(s)]
+            found = [s for s in shingle_sets(batch.column("text").to_pylist(), words) if len(s)]
             yield as_table({"mark": [mark_of(s) for s in found], "shingles": [s.view(np.int64) for s in found]}, schema)
 
     picked = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(every)) == 0)
@@ -223,10 +256,10 @@ def signature_blocks(docs: DataFrame, common: np.ndarray, parts_count: int, word
     schema = pa.schema([("part", pa.int32()), ("entries", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bands, usual, seen = WordHashes(), Bands(percent), Common(shared.value), set()
+        bands, usual, seen = Bands(percent), Common(shared.value), set()
         for batch in small_batches(batches, "text", BATCH):
             sigs, ids, sizes = [], [], []
-            for s in shingle_sets(batch.column("text").to_pylist(), known, words):
+            for s in shingle_sets(batch.column("text").to_pylist(), words):
                 mark = mark_of(s)
                 if mark is None or mark in seen:
                     continue
@@ -309,9 +342,8 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     names = [n for n in wanted.columns if n not in ("doc", "want")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in small_batches(batches, "text", BATCH):
-            sets = shingle_sets(batch.column("text").to_pylist(), known, words)
+            sets = shingle_sets(batch.column("text").to_pylist(), words)
             keep = [i for i, (s, m) in enumerate(zip(sets, batch.column("want").to_pylist())) if mark_of(s) == m]
             part = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array([sets[i].tobytes() for i in keep], pa.binary())], [*names, "shingles"])
