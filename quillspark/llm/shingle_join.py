@@ -16,8 +16,10 @@ a spanning star per block, never pairs, and sets move once.
 
 Second, what the first step can have missed lies between its components: pairs of different components that share enough signatures. A signature group
 whose members are in one component, as those of copies are, has nothing left. In any other, the members outside its largest component (seekers) meet
-the rest: up to ``SEEKERS`` of them by counting the signatures of each pair, more by comparing blocks of the group. So every pair that can be linked is
-either compared or already connected.
+the rest: up to ``SEEKERS`` of them by counting the signatures of each pair. The sets of groups with more are compared with each other through rare
+shingles: in one order for all sets, rarest first, two linked sets must share a shingle near the start, how near follows from their sizes. Shingles that
+few sets have near the start give pairs; those of many are told apart by the sizes of their sets, and only what many sets still share is compared in
+blocks, seekers against the rest. So every pair that can be linked is either compared or already connected.
 
 Edge cases: a null or empty text, or one of white space, has no shingles and links with nothing. With fewer words than a shingle needs, the whole
 text is one shingle. Rows with a null id take part; ``component_id`` is the smallest id that is not null, if there is one. Repeated rows are linked
@@ -48,6 +50,9 @@ BUCKET_BYTES = 4 << 20
 SAMPLE_DOCS = 4_000
 COMMON = 0.005
 SEEKERS = 64
+LISTED = 64
+NARROW = 96
+TALLY = 1 << 20
 PART_BYTES = 12 << 20
 LOW48 = np.uint64((1 << 48) - 1)
 CHUNK = 1 << 20
@@ -457,15 +462,20 @@ def compared_pairs(texts: DataFrame, pairs: DataFrame, nodes: DataFrame, words:
     return whole_sets(texts, stored(wanted, "wanted"), words).groupBy("bucket").applyInArrow(pair_links(percent), "a long, b long")
 
 
+def with_seekers(members: DataFrame) -> DataFrame:
+    """The rows (``group``, ``root`` and others) of groups with several roots; ``seeks`` marks those outside the largest one, ``seekers`` counts them."""
+    roots = members.groupBy("group", "root").agg(F.count(F.lit(1)).alias("m"))
+    several = roots.groupBy("group").agg(F.max_by("root", F.struct("m", "root")).alias("largest"), F.sum("m").alias("members"),
+                                         (F.sum("m") - F.max("m")).alias("seekers")).filter(F.col("seekers") > 0)
+    return members.join(stored(several, "groups"), "group").withColumn("seeks", F.col("root") != F.col("largest"))
+
+
 def later_links(texts: DataFrame, matched: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between different components. ``nodes`` has ``node, short, n, need, component, doc, mark`` per set."""
     told = nodes.select("node", "short", "n", "need", F.col("component").alias("root"))
     groups = matched.filter(F.col("kind") == GROUP).groupBy(F.col("a").alias("group"), F.col("b").alias("short")).agg(F.sum("c").alias("c"))
     members = stored(groups.join(told, "short"), "members")
-    roots = members.groupBy("group", "root").agg(F.count(F.lit(1)).alias("m"))
-    open_groups = stored(roots.groupBy("group").agg(F.max_by("root", F.struct("m", "root")).alias("largest"), F.sum("m").alias("members"), (F.sum("m") - F.max("m")).alias("seekers"))
-                         .filter(F.col("seekers") > 0), "groups")
-    met = stored(members.join(open_groups, "group"), "open").withColumn("seeks", F.col("root") != F.col("largest"))
+    met = stored(with_seekers(members), "open")
 
     few = met.filter(F.col("seekers") <= SEEKERS)
     left = few.filter("seeks").select("group", "c", *[F.col(x).alias(f"{x}_a") for x in ("node", "n", "need", "root")])
@@ -480,16 +490,126 @@ def later_links(texts: DataFrame, matched: DataFrame, nodes: DataFrame, words: i
     enough = pairs[0].unionByName(pairs[1]).groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("need").alias("need")).filter(F.col("c") >= F.col("need"))
     links = compared_pairs(texts, enough, nodes, words, percent)
 
-    many = met.filter(F.col("seekers") > SEEKERS).withColumn("rows", F.ceil(F.col("seekers") / BLOCK).cast("int")).withColumn(
-        "blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    if many.isEmpty():
+    many = met.filter(F.col("seekers") > SEEKERS)
+    return links if many.isEmpty() else links.unionAll(crowd_links(texts, many, nodes, words, percent))
+
+
+def tallies(sets: DataFrame) -> np.ndarray:
+    """How often shingles occur in ``sets``, added up in ``TALLY`` places by their first bits: a bounded table, never below a shingle's own number."""
+    schema = pa.schema([("place", pa.int32()), ("n", pa.int64())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(TALLY, np.int64)
+        for batch in batches:
+            held += np.bincount(tally_place(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)), minlength=TALLY)
+        at = np.flatnonzero(held)
+        yield as_table({"place": at.astype(np.int32), "n": held[at]}, schema)
+
+    found = sets.select("shingles").mapInArrow(rows, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(TALLY, np.int64)
+    total[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    return total
+
+
+def tally_place(x: np.ndarray) -> np.ndarray:
+    return ((x >> np.uint64(32)) * np.uint64(TALLY) >> np.uint64(32)).astype(np.int64)
+
+
+def prefix(n, other, percent: int):
+    """Of two linked sets of ``n`` and ``other`` shingles, in one order, the first ``prefix(n, other)`` and ``prefix(other, n)`` have one in common."""
+    return n + 1 + -percent * (n + other) // (100 + percent)
+
+
+def prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
+    """``shingle, at, node, root, seeks, n``: the shingles at the start of each set that a linked set of any size may need, rarest first."""
+    shared = sets.sparkSession.sparkContext.broadcast(tallies(sets))
+    schema = pa.schema([("shingle", pa.int64()), ("at", pa.int32()), ("node", pa.int64()), ("root", pa.int64()), ("seeks", pa.bool_()), ("n", pa.int64())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        usual = shared.value
+        for batch in batches:
+            firsts, counts, sizes = [], [], []
+            for raw in batch.column("shingles").to_pylist():
+                x = np.frombuffer(raw, np.uint64)
+                length = prefix(len(x), -(-percent * len(x) // 100), percent)
+                firsts.append(x[np.lexsort((x, usual[tally_place(x)]))[:length]])
+                counts.append(len(firsts[-1]))
+                sizes.append(len(x))
+            owner = np.repeat(np.arange(len(counts)), counts)
+            told = batch.take(pa.array(owner, pa.int64()))
+            yield as_table({"shingle": np.concatenate(firsts).view(np.int64) if firsts else [], "at": [i for c in counts for i in range(c)],
+                            **{c: told.column(c) for c in ("node", "root", "seeks")}, "n": np.array(sizes, np.int64)[owner]}, schema)
+
+    return sets.mapInArrow(rows, "shingle long, at int, node long, root long, seeks boolean, n long")
+
+
+def by_size(percent: int):
+    """Entries once for each band of sizes that a linked set may be in and that needs the entry: ``low`` and ``high`` are the two sets' bands."""
+    schema = pa.schema([("shingle", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("at", pa.int32()), ("node", pa.int64()), ("root", pa.int64()),
+                        ("seeks", pa.bool_()), ("n", pa.int64())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(NARROW)
+        for batch in batches:
+            n, at = batch.column("n").to_numpy(), batch.column("at").to_numpy()
+            if not len(n):
+                continue
+            last = bands.of(int(n.max()) * 100 // percent)
+            starts = np.array(bands.starts, np.int64)
+            own = np.searchsorted(starts, n, side="right") - 1
+            least, most = -(-percent * n // 100), n * 100 // percent
+            for band in range(int(np.searchsorted(starts, least.min(), side="right")) - 1, last + 1):
+                smallest = np.maximum(starts[band], least)
+                keep = np.flatnonzero((smallest <= np.minimum(starts[band + 1] - 1, most)) & (at < prefix(n, smallest, percent)))
+                if len(keep):
+                    told = batch.take(pa.array(keep, pa.int64()))
+                    yield as_table({"low": np.minimum(own[keep], band).astype(np.int32), "high": np.maximum(own[keep], band).astype(np.int32),
+                                    **{c: told.column(c) for c in ("shingle", "at", "node", "root", "seeks", "n")}}, schema)
+
+    return rows
+
+
+def with_lists(entries: DataFrame, keys: list[str]) -> DataFrame:
+    """Entries whose list, all those of equal ``keys``, has a seeker and sets of several components; ``members`` and ``first`` are its size and least node."""
+    lists = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("first"), F.max("seeks").alias("sought"),
+                                       (F.min("root") != F.max("root")).alias("several"))
+    return entries.join(lists.filter(F.col("sought") & F.col("several")).select(*keys, "members", "first"), keys)
+
+
+def listed_pairs(entries: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of a seeker and another component's set in a list of at most ``LISTED`` sets, both near enough to the start for both sizes."""
+    short = entries.filter(F.col("members") <= LISTED)
+    left, right = (short.select(*keys, *[F.col(x).alias(f"{x}_{e}") for x in ("at", "node", "root", "seeks", "n")]) for e in "ab")
+    met = left.filter("seeks_a").join(right, keys).filter((F.col("root_a") != F.col("root_b")) & (~F.col("seeks_b") | (F.col("node_a") < F.col("node_b"))))
+    overlap = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    near = (F.col("at_a") <= F.col("n_a") - overlap) & (F.col("at_b") <= F.col("n_b") - overlap)
+    return met.filter(near).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+
+def crowd_links(texts: DataFrame, many: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between different components among the sets of crowded groups. ``many`` has ``node, root, seeks`` per set and group."""
+    crowd = many.groupBy("node").agg(F.min("root").alias("root"), F.max("seeks").alias("seeks"))
+    sets = stored(whole_sets(texts, stored(crowd.join(nodes.select("node", "doc", F.col("mark").alias("want")), "node"), "crowd"), words), "crowd-sets")
+    entries = stored(with_lists(stored(prefix_entries(sets, percent), "entries"), ["shingle"]), "lists")
+    keys = ["shingle", "low", "high"]
+    sized = entries.filter(F.col("members") > LISTED).select("shingle", "at", "node", "root", "seeks", "n").mapInArrow(
+        by_size(percent), "shingle long, low int, high int, at int, node long, root long, seeks boolean, n long")
+    sized = stored(with_lists(stored(sized, "sized"), keys), "sized-lists")
+    pairs = listed_pairs(entries, ["shingle"], percent).unionAll(listed_pairs(sized, keys, percent)).distinct()
+    links = compared_pairs(texts, pairs, nodes, words, percent)
+    rest = stored(sized.filter(F.col("members") > LISTED).select("node", "root", "first").distinct(), "rest")
+    if rest.isEmpty():
         return links
+    pieces = smallest_reachable(rest.select(F.col("node").alias("a"), F.col("first").alias("b")))
+    pieces = rest.select("node", "root").distinct().join(pieces.select("node", F.col("component").alias("group")), "node")
+    met = stored(with_seekers(pieces), "pieces").withColumn("rows", F.ceil(F.col("seekers") / BLOCK).cast("int")).withColumn(
+        "blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     place = lambda seed, n: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    seeking = many.filter("seeks").select("node", "group", place(2, "rows").alias("row"), spread("blocks").alias("block"), "seeks")
-    sought = many.select("node", "group", spread("rows").alias("row"), place(3, "blocks").alias("block"), F.lit(False).alias("seeks"))
-    wanted = stored(seeking.unionByName(sought).join(nodes.select("node", "doc", F.col("mark").alias("want")), "node"), "sought")
-    return links.unionAll(whole_sets(texts, wanted, words).groupBy("group", "row", "block").applyInArrow(seeker_stars(percent), "a long, b long"))
+    seeking = met.filter("seeks").select("node", "group", place(2, "rows").alias("row"), spread("blocks").alias("block"), "seeks")
+    sought = met.select("node", "group", spread("rows").alias("row"), place(3, "blocks").alias("block"), F.lit(False).alias("seeks"))
+    dealt = seeking.unionByName(sought).join(sets.select("node", "shingles"), "node")
+    return links.unionAll(dealt.groupBy("group", "row", "block").applyInArrow(seeker_stars(percent), "a long, b long"))
 
 
 def clusters_of(matched: DataFrame, nodes: DataFrame) -> DataFrame:

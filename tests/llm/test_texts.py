@@ -218,8 +218,9 @@ def components(n, links):
     return [top(i) for i in range(n)]
 
 
-@pytest.mark.parametrize(("common", "block", "seekers"), [(0.005, 512, 64), (0.3, 4, 64), (0.3, 4, 1), (1.1, 2, 0)])
-def test_jaccard_components(spark, monkeypatch, common, block, seekers):
+@pytest.mark.parametrize(("common", "block", "seekers", "listed"), [(0.005, 512, 64, 64), (0.3, 4, 64, 64), (0.3, 4, 1, 64), (1.1, 2, 0, 1), (0.005, 4, 0, 3)])
+def test_jaccard_components(spark, monkeypatch, common, block, seekers, listed):
+    monkeypatch.setattr(shingle_join, "LISTED", listed)
     monkeypatch.setattr(shingle_join, "COMMON", common)
     monkeypatch.setattr(shingle_join, "SEEKERS", seekers)
     monkeypatch.setattr(shingle_join, "BLOCK", block)
@@ -242,6 +243,18 @@ def test_jaccard_components(spark, monkeypatch, common, block, seekers):
     assert got == {i: (len(s), c) for i, (s, c) in enumerate(zip(sets, components(len(sets), links)))}
 
 
+def test_linked_sets_share_an_early_shingle():
+    rng, linked = random.Random(4), 0
+    for _ in range(20_000):
+        base = rng.sample(range(120), rng.randint(1, 60))
+        x, y = (sorted({v for v in base if rng.random() > 0.08} | set(rng.sample(range(120), rng.randint(0, 4)))) for _ in range(2))
+        if x and y and 100 * len({*x} & {*y}) >= 80 * len({*x} | {*y}):
+            linked += 1
+            near = [a[:shingle_join.prefix(len(a), len(b), 80)] for a, b in ((x, y), (y, x))]
+            assert {*near[0]} & {*near[1]} and len(near[0]) <= shingle_join.prefix(len(x), -(-80 * len(x) // 100), 80)
+    assert linked > 1_000
+
+
 def test_jaccard_edges(spark):
     docs = documents(spark, ["a b c d e f", None]).unionAll(spark.createDataFrame([(None, "a b c d e f", None, None, 1, 1)] * 2 + [(0, "a b c d e f", None, None, 1, 1)], DOC))
     got = sorted(map(tuple, shingle_join.jaccard_components(docs).collect()), key=str)
