@@ -16,7 +16,7 @@ a spanning star per block, never pairs, and sets move once.
 
 Second, what the first step can have missed lies between its components: pairs of different components that share enough signatures. A signature group
 whose members are in one component, as those of copies are, has nothing left. In any other, the members outside its largest component (seekers) meet
-the rest: up to ``SEEKERS`` of them by counting the signatures of each pair. The sets of groups with more are compared with each other through rare
+the rest: in groups of up to ``SEEKERS`` sets by counting the signatures of each pair. The sets of larger groups are compared with each other through rare
 shingles: in one order for all sets, rarest first, two linked sets must share a shingle near the start, how near follows from their sizes. Shingles that
 few sets have near the start give pairs; those of many are told apart by the sizes of their sets, and only what many sets still share is compared in
 blocks, seekers against the rest. So every pair that can be linked is either compared or already connected.
@@ -477,7 +477,7 @@ def later_links(texts: DataFrame, matched: DataFrame, nodes: DataFrame, words: i
     members = stored(groups.join(told, "short"), "members")
     met = stored(with_seekers(members), "open")
 
-    few = met.filter(F.col("seekers") <= SEEKERS)
+    few = met.filter(F.col("members") <= SEEKERS)
     left = few.filter("seeks").select("group", "c", *[F.col(x).alias(f"{x}_a") for x in ("node", "n", "need", "root")])
     right = few.select("group", "seeks", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "need", "root")])
     cross = left.join(right, "group").filter(~F.col("seeks") | (F.col("node_a") < F.col("node_b")))
@@ -490,19 +490,20 @@ def later_links(texts: DataFrame, matched: DataFrame, nodes: DataFrame, words: i
     enough = pairs[0].unionByName(pairs[1]).groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("need").alias("need")).filter(F.col("c") >= F.col("need"))
     links = compared_pairs(texts, enough, nodes, words, percent)
 
-    many = met.filter(F.col("seekers") > SEEKERS)
+    many = met.filter(F.col("members") > SEEKERS)
     return links if many.isEmpty() else links.unionAll(crowd_links(texts, many, nodes, words, percent))
 
 
 def tallies(sets: DataFrame) -> np.ndarray:
-    """How often shingles occur in ``sets``, added up in ``TALLY`` places by their first bits: a bounded table, never below a shingle's own number."""
+    """About how often shingles occur in ``sets``, added up in ``TALLY`` places by their first bits: a table of bounded size. What a task meets once counts as
+    unseen there. The table only gives the order of shingles; any order is right, and a good one makes lists short."""
     schema = pa.schema([("place", pa.int32()), ("n", pa.int64())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(TALLY, np.int64)
         for batch in batches:
             held += np.bincount(tally_place(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)), minlength=TALLY)
-        at = np.flatnonzero(held)
+        at = np.flatnonzero(held > 1)
         yield as_table({"place": at.astype(np.int32), "n": held[at]}, schema)
 
     found = sets.select("shingles").mapInArrow(rows, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
