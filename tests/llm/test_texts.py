@@ -221,6 +221,7 @@ def components(n, links):
 @pytest.mark.parametrize(("common", "block", "seekers", "listed"), [(0.005, 512, 64, 64), (0.3, 4, 64, 64), (0.3, 4, 1, 64), (1.1, 2, 0, 1), (0.005, 4, 0, 3)])
 def test_jaccard_components(spark, monkeypatch, common, block, seekers, listed):
     monkeypatch.setattr(shingle_join, "LISTED", listed)
+    monkeypatch.setattr("quillspark.llm.components.FEW", 1 << 19 if listed == 64 else -1)
     monkeypatch.setattr(shingle_join, "COMMON", common)
     monkeypatch.setattr(shingle_join, "SEEKERS", seekers)
     monkeypatch.setattr(shingle_join, "BLOCK", block)
