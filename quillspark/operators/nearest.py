@@ -22,6 +22,7 @@ QUERY_BLOCK = 2048
 ITEM_BLOCK = 16384
 STEP_ROWS = 2048
 DIGITS = 9
+SLACK = 2 * 10.0 ** -DIGITS
 PAIRS = 500_000_000
 
 
@@ -49,28 +50,40 @@ def _columns(batch: pa.RecordBatch | pa.Table, dim: int) -> tuple[np.ndarray, np
 class Best:
     """The ``k`` nearest items seen so far for each query, ties by id."""
 
-    def __init__(self, query_vectors: np.ndarray, k: int, metric: str):
+    def __init__(self, query_vectors: np.ndarray, k: int, metric: str, reached: np.ndarray | None = None):
+        """``reached`` are distances beyond which items are not wanted."""
         self.q, self.k, self.metric = query_vectors, k, metric
         if metric == "cosine":
             self.q = _unit(query_vectors)
         self.q2 = (self.q * self.q).sum(axis=1)[:, None]
+        self.far = np.full(len(self.q), np.inf) if reached is None else reached.astype(np.float64)
         self.row = np.zeros(0, dtype=np.int64)
         self.dist = np.zeros(0)
         self.ids: np.ndarray | None = None
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, vectors: np.ndarray, only: np.ndarray | None = None) -> None:
+        """Compare items with all queries, or with the places ``only``. Few pairs are within the distances reached so far, and only those are rounded."""
         if not len(ids) or not len(self.q):
             return
+        q, q2, far = (self.q, self.q2, self.far) if only is None else (self.q[only], self.q2[only], self.far[only])
         x = _unit(vectors) if self.metric == "cosine" else vectors
-        dots = self.q @ x.T
-        dist = 1.0 - dots if self.metric == "cosine" else np.maximum(self.q2 + (x * x).sum(axis=1) - 2.0 * dots, 0.0)
-        dist = np.round(dist, DIGITS) + 0.0
-        if dist.shape[1] > self.k:
-            edge = np.partition(dist, self.k - 1, axis=1)[:, self.k - 1: self.k]
-            rows, cols = np.nonzero(dist <= edge)
+        dist = q @ x.T
+        if self.metric == "cosine":
+            np.subtract(1.0, dist, out=dist)
         else:
-            rows, cols = np.nonzero(np.ones_like(dist, dtype=bool))
-        self._merge(rows, dist[rows, cols], ids[cols])
+            dist *= -2.0
+            dist += q2 + (x * x).sum(axis=1)
+            np.maximum(dist, 0.0, out=dist)
+        new = np.isinf(far)
+        if dist.shape[1] > self.k and new.any():
+            far = far.copy()
+            far[new] = np.partition(dist[new], self.k - 1, axis=1)[:, self.k - 1]
+        inside = dist <= (far + SLACK)[:, None]
+        if dist.shape[1] <= self.k:
+            inside[new] = True
+        rows, cols = np.nonzero(inside)
+        near = np.round(dist[rows, cols], DIGITS) + 0.0
+        self._merge(rows if only is None else only[rows], near, ids[cols])
 
     def _merge(self, rows: np.ndarray, dist: np.ndarray, ids: np.ndarray) -> None:
         if self.ids is not None:
@@ -81,6 +94,8 @@ class Best:
         first = np.searchsorted(rows, rows, side="left")
         keep = np.arange(len(rows)) - first < self.k
         self.row, self.dist, self.ids = rows[keep], dist[keep], ids[keep]
+        full = (np.arange(len(rows)) - first == self.k - 1)
+        self.far[rows[full]] = np.fmin(self.far[rows[full]], dist[full])
 
     def table(self, query_ids: np.ndarray, schema: pa.Schema) -> pa.Table:
         ids = self.ids if self.ids is not None else np.zeros(0, dtype=np.int64)
