@@ -1,7 +1,8 @@
 """N-gram vocabularies, TF-IDF and count features.
 
 Terms are counted inside tasks, batch by batch, on Arrow arrays of token codes, so the only shuffle of the vocabulary job is the per-term
-total, and it is combined map-side first. A row's weights are made in its own task: no row is exploded, joined or gathered again. The vocabulary is
+total, and it is combined map-side first. N-grams are counted length by length on stored codes, and only those whose parts can still be chosen: an n-gram is
+never more frequent than a part of it, and each length counted raises the floor for the next. A row's weights are made in its own task: no row is exploded, joined or gathered again. The vocabulary is
 capped by ``max_features``, which bounds what is collected and broadcast.
 """
 
@@ -18,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
+from ..session import stored
 
 MAX_VOCABULARY = 100_000
 POOL = 200_000
 STEP_TOKENS = 1 << 20
+MERGED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -145,18 +148,107 @@ def _frequent_words(singles: DataFrame, spec: VectorizerSpec, n_docs: int) -> li
     return [r["term"] for r in words] if len(words) <= POOL else None
 
 
+def _coded(df: DataFrame, text: str, pool: list[str]) -> DataFrame:
+    """``codes``: each text's tokens as places in ``pool``, -1 for other words. Stored."""
+    shared = df.sparkSession.sparkContext.broadcast(pa.array(pool, pa.string()))
+
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, rows, tokens in steps(batch, "tokens"):
+                place = pc.fill_null(pc.index_in(tokens.cast(pa.string()), value_set=shared.value), -1).cast(pa.int32())
+                ends = np.append(0, np.cumsum(np.bincount(rows, minlength=part.num_rows))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), place)], names=["codes"])
+
+    return stored(df.select(X.feature_tokens(F.col(text)).alias("tokens")).mapInArrow(codes, "codes array<int>"), "codes")
+
+
+def _gram_totals(coded: DataFrame, size: int, allowed: list[np.ndarray]) -> DataFrame:
+    """``key, tf, df`` of the n-grams of ``len(allowed) + 2`` words whose parts are allowed. ``allowed`` has the sorted keys of two words and more; a key is the
+    place of all words but the last, times ``size``, and the last word's place."""
+    shared = coded.sparkSession.sparkContext.broadcast(allowed)
+    schema = pa.schema([("key", pa.int64()), ("tf", pa.int64()), ("df", pa.int64())])
+
+    def merged(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, place = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+        return keys, *(np.bincount(place, weights=np.concatenate([f[i] for f in found]), minlength=len(keys)).astype(np.int64) for i in (1, 2))
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for _, rows, codes in steps(batch, "codes"):
+                word = codes.to_numpy(zero_copy_only=False).astype(np.int64)
+                gram, key = word, word
+                for n in range(2, len(shared.value) + 3):
+                    at = np.nonzero(gram >= 0)[0]
+                    at = at[_following(rows, at, n - 1)]
+                    at = at[gram[at + 1] >= 0]
+                    key = gram[at] * size + word[at + n - 1]
+                    if n < len(shared.value) + 2:
+                        keys = shared.value[n - 2]
+                        place = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+                        gram = np.full(len(word), -1)
+                        hit = keys[place] == key if len(keys) else np.zeros(len(key), dtype=bool)
+                        gram[at[hit]] = place[hit]
+                if not len(key):
+                    continue
+                keys, code, tf = np.unique(key, return_inverse=True, return_counts=True)
+                once = np.unique(rows[at] * len(keys) + code) % len(keys)
+                held.append((keys, tf, np.bincount(once, minlength=len(keys))))
+                if sum(len(h[0]) for h in held) > MERGED:
+                    held = [merged(held)]
+                    if len(held[0][0]) > MERGED // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], schema=schema)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged(held)], schema=schema)
+
+    return coded.mapInArrow(totals, "key long, tf long, df long").groupBy("key").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def _grown(df: DataFrame, text: str, spec: VectorizerSpec, n_docs: int, top: list, pool: list[str]) -> list | None:
+    """The chosen ``(term, tf, df)``, from those of one word and the words that longer ones can be made of, or None if too many n-grams stay possible."""
+    spark, coded, size = df.sparkSession, _coded(df, text, pool), len(pool)
+    names, allowed = pool, []
+    words = F.broadcast(spark.createDataFrame(pa.table({"_last": pa.array(range(size), pa.int64()), "_word": pa.array(pool, pa.string())})))
+    for n in range(2, spec.high + 1):
+        floor = top[-1][1] if len(top) == spec.max_features else max(spec.min_df, 1)
+        totals = _gram_totals(coded, size, allowed).filter(F.col("tf") >= floor).persist()
+        parts = F.broadcast(spark.createDataFrame(pa.table({"_part": pa.array(range(len(names)), pa.int64()), "_name": pa.array(names, pa.string())})))
+        inside = totals.filter((F.col("df") >= spec.min_df) & (F.col("df") <= spec.max_df * n_docs))
+        named = inside.select("tf", "df", F.expr(f"key div {size}L").alias("_part"), F.expr(f"key % {size}L").alias("_last")).join(parts, "_part").join(words, "_last")
+        more = named.select(F.concat("_name", F.lit(" "), "_word").alias("term"), "tf", "df").orderBy(F.desc("tf"), "term").limit(spec.max_features).collect()
+        top = sorted([*top, *((r["term"], r["tf"], r["df"]) for r in more)], key=lambda r: (-r[1], r[0].encode()))[:spec.max_features]
+        if n < spec.high:
+            floor = top[-1][1] if len(top) == spec.max_features else max(spec.min_df, 1)
+            keys = totals.filter(F.col("tf") >= floor).select("key").limit(POOL + 1).toArrow().column("key").to_numpy()
+            if len(keys) > POOL:
+                totals.unpersist()
+                return None
+            allowed.append(np.sort(keys))
+            names = [f"{names[k // size]} {pool[k % size]}" for k in allowed[-1].tolist()]
+        totals.unpersist()
+    return top
+
+
 def fit(df: DataFrame, text: str, spec: VectorizerSpec) -> Vocabulary:
     """Terms within the document-frequency limits, then the most frequent ``max_features`` of them."""
     totals = _totals(df, text, replace(spec, high=spec.low)).persist()
     n_docs = _size(totals)
-    if spec.high > spec.low:
+
+    def best() -> list:
+        return [(r["term"], r["tf"], r["df"]) for r in _within(totals, spec, n_docs).orderBy(F.desc("tf"), "term").limit(spec.max_features).collect()]
+
+    if spec.high == spec.low:
+        top = best()
+    else:
         pool = _frequent_words(totals, spec, n_docs) if spec.low == 1 else None
-        totals.unpersist()
-        totals = _totals(df, text, spec, pool).persist()
-    top = _within(totals, spec, n_docs).orderBy(F.desc("tf"), "term").limit(spec.max_features).collect()
+        top = _grown(df, text, spec, n_docs, best(), pool) if pool is not None else None
+        if top is None:
+            totals.unpersist()
+            totals = _totals(df, text, spec, pool).persist()
+            top = best()
     totals.unpersist()
-    ordered = sorted(top, key=lambda r: r["term"].encode())
-    return Vocabulary(spec, n_docs, tuple((r["term"], i, r["tf"], r["df"]) for i, r in enumerate(ordered)))
+    ordered = sorted(top, key=lambda r: r[0].encode())
+    return Vocabulary(spec, n_docs, tuple((term, i, tf, df) for i, (term, tf, df) in enumerate(ordered)))
 
 
 def raw_weight(spec: VectorizerSpec, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
