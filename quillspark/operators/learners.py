@@ -68,7 +68,7 @@ def logistic(train: DataFrame, C: float = 1.0, penalty: str = "l2", class_weight
 def random_forest(train: DataFrame, n_estimators: int = 100, max_depth: int | None = None, min_samples_leaf: int = 1,
                   class_weight: str | None = None) -> Model:
     return RandomForestClassifier(weightCol="w", numTrees=n_estimators, maxDepth=max_depth or DEEPEST, minInstancesPerNode=min_samples_leaf,
-                                  featureSubsetStrategy="sqrt", seed=V.SEED).fit(weighted(train, class_weight))
+                                  featureSubsetStrategy="sqrt", cacheNodeIds=True, seed=V.SEED).fit(weighted(train, class_weight))
 
 
 def decision_tree(train: DataFrame, max_depth: int = DEEPEST) -> Model:
@@ -76,7 +76,7 @@ def decision_tree(train: DataFrame, max_depth: int = DEEPEST) -> Model:
 
 
 def bagging(train: DataFrame, n_trees: int = 10) -> Model:
-    return RandomForestClassifier(numTrees=n_trees, maxDepth=DEEPEST, featureSubsetStrategy="all", bootstrap=True, seed=V.SEED).fit(train)
+    return RandomForestClassifier(numTrees=n_trees, maxDepth=DEEPEST, featureSubsetStrategy="all", bootstrap=True, cacheNodeIds=True, seed=V.SEED).fit(train)
 
 
 def gradient_boosting(train: DataFrame, n_trees: int = 100, depth: int = 3, rate: float = 0.1) -> Model:
