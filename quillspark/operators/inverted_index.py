@@ -27,6 +27,7 @@ BLOCK = 1024
 RANGE = 64
 ROUND = 4096
 SEED_BLOCKS = 256
+USUAL = 160
 SLACK = 2 * 10.0 ** -DIGITS
 IDS, GONE = -1, -2
 POSTINGS = "block long, term_idx int, top double, places array<int>, weights array<double>, ids array<string>"
@@ -75,40 +76,70 @@ def postings(blocked: DataFrame, key: str) -> DataFrame:
 
 
 class Round:
-    """Questions of one round: their weights as a matrix over the terms asked, and the best texts so far."""
+    """Questions of one round: their weights by term, and the best texts so far. Questions are short, so products go over the terms they have,
+    and as a matrix only over the few terms that many questions share with many texts."""
 
     def __init__(self, lists: list[list[int]], weights: list[list[float]], k: int, floor: np.ndarray | None = None):
-        self.k = k
-        self.terms = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *[np.array(t, dtype=np.int64) for t in lists]]))
-        self.q = np.zeros((len(lists), len(self.terms)))
-        for i, (t, w) in enumerate(zip(lists, weights)):
-            self.q[i, np.searchsorted(self.terms, np.array(t, dtype=np.int64))] = w
-        self.floor = np.zeros(len(lists)) if floor is None else floor.copy()
+        self.k, self.n = k, len(lists)
+        terms = np.concatenate([np.zeros(0, dtype=np.int64), *[np.array(t, dtype=np.int64) for t in lists]])
+        values = np.concatenate([np.zeros(0), *[np.array(w, dtype=np.float64) for w in weights]])
+        self.terms, col = np.unique(terms, return_inverse=True)
+        order = np.argsort(col, kind="stable")
+        self.q_col, self.q_row, self.q_value = col[order], np.repeat(np.arange(self.n), [len(t) for t in lists])[order], values[order]
+        self.ends = np.searchsorted(self.q_col, np.arange(len(self.terms) + 1))
+        self.floor = np.zeros(self.n) if floor is None else floor.copy()
         self.row, self.score, self.id = np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=object)
         self.bounded = self.scored = 0
 
     def column(self, terms: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.terms, terms)
 
+    def bound(self, terms: np.ndarray, tops: np.ndarray) -> np.ndarray:
+        """The most that a text with these largest weights can score for each question."""
+        most = np.zeros(len(self.terms))
+        most[self.column(terms)] = tops
+        return np.bincount(self.q_row, weights=self.q_value * most[self.q_col], minlength=self.n)
+
     def add(self, terms: np.ndarray, tops: np.ndarray, lists: list[tuple[np.ndarray, np.ndarray]], ids: list[str], gone: np.ndarray) -> None:
         """Score a block for the questions that it can change."""
         columns = self.column(terms)
-        bound = self.q[:, columns] @ tops
+        bound = self.bound(terms, tops)
         active = np.nonzero((bound > 0) & (bound >= self.floor - SLACK))[0]
-        self.bounded += len(self.q)
+        self.bounded += self.n
         self.scored += len(active)
         if not len(active):
             return
-        block = np.zeros((len(columns), len(ids)))
-        for i, (places, weights) in enumerate(lists):
-            block[i, places] = weights
-        block[:, gone] = 0.0
-        score = self.q[np.ix_(active, columns)] @ block
-        if score.shape[1] > self.k:
-            least = np.maximum(np.partition(score, -self.k, axis=1)[:, -self.k], self.floor[active]) - SLACK
-        else:
-            least = self.floor[active] - SLACK
+        place = np.full(self.n, -1)
+        place[active] = np.arange(len(active))
+        work = (self.ends[columns + 1] - self.ends[columns]) * np.array([len(p) for p, _ in lists])
+        usual = np.argsort(work, kind="stable")[-USUAL:]
+        q, block, rare = np.zeros((len(active), len(usual))), np.zeros((len(usual), len(ids))), np.ones(len(columns), dtype=bool)
+        rare[usual] = False
+
+        def of(column: int) -> tuple[np.ndarray, np.ndarray]:
+            at = slice(self.ends[column], self.ends[column + 1])
+            rows, values = place[self.q_row[at]], self.q_value[at]
+            return rows[rows >= 0], values[rows >= 0]
+
+        for i, j in enumerate(usual):
+            rows, values = of(columns[j])
+            q[rows, i] = values
+            block[i, lists[j][0]] = lists[j][1]
+        score = q @ block
+        for j in np.flatnonzero(rare):
+            rows, values = of(columns[j])
+            if len(rows):
+                places, weights = lists[j]
+                score[rows[:, None], places] += values[:, None] * weights
+        score[:, gone] = 0.0
+        least = self.floor[active]
+        new = least <= 0
+        if score.shape[1] > self.k and new.any():
+            least[new] = np.partition(score[new], -self.k, axis=1)[:, -self.k]
+        least -= SLACK
         r, c = np.nonzero((score >= least[:, None]) & (np.round(1.0 - score, DIGITS) < 1.0))
+        if not len(r):
+            return
         row, value, names = (np.concatenate(x) for x in ((self.row, active[r]), (self.score, score[r, c]), (self.id, np.array(ids, dtype=object)[c])))
         order = np.lexsort((names, np.round(1.0 - value, DIGITS), row))
         row, value, names = row[order], value[order], names[order]
@@ -241,7 +272,7 @@ class InvertedIndex:
                 block, term, top = (batch.column(c).to_numpy() for c in ("block", "term_idx", "top"))
                 for b in np.unique(block):
                     at = block == b
-                    bounds[b] = bounds.get(b, 0) + asked.q[:, asked.column(term[at])] @ top[at]
+                    bounds[b] = bounds.get(b, 0) + asked.bound(term[at], top[at])
             if bounds:
                 names, table = np.array(list(bounds)), np.stack(list(bounds.values()))
                 most = table.argmax(axis=0)
