@@ -16,7 +16,8 @@ a spanning star per block, never pairs, and sets move once.
 
 Second, what the first step can have missed lies between its components: pairs of different components that share enough signatures. A signature group
 whose members are in one component, as those of copies are, has nothing left. In any other, the members outside its largest component (seekers) meet
-the rest: in groups of up to ``SEEKERS`` sets by counting the signatures of each pair. The sets of larger groups are compared with each other through rare
+the rest: in groups of up to ``SEEKERS`` sets by counting the signatures of each pair, and a pair is compared only if the parities of its sets allow a
+link. (Sets have an odd or even number of elements in each of 256 places, and differ in no fewer elements than places.) The sets of larger groups are compared with each other through rare
 shingles: in one order for all sets, rarest first, two linked sets must share a shingle near the start, how near follows from their sizes. Shingles that
 few sets have near the start give pairs; those of many are told apart by the sizes of their sets, and only what many sets still share is compared in
 blocks, seekers against the rest. So every pair that can be linked is either compared or already connected.
@@ -35,10 +36,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import fits
 from .components import smallest_reachable
 from .shared import as_table, small_batches, stored
 
@@ -51,9 +53,11 @@ SAMPLE_DOCS = 4_000
 COMMON = 0.005
 SEEKERS = 64
 LISTED = 64
+IDS = 1 << 20
 NARROW = 96
 TALLY = 1 << 20
 PART_BYTES = 12 << 20
+PARITIES = ("p0", "p1", "p2", "p3")
 LOW48 = np.uint64((1 << 48) - 1)
 CHUNK = 1 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -128,25 +132,35 @@ def mark_of(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """A set's ``PARITIES``, 64 bits each: whether it has an odd number of elements in each place. Two sets have at least as many different elements as
+    different bits."""
+    odd = np.bincount((shingles % np.uint64(64 * len(PARITIES))).astype(np.int64), minlength=64 * len(PARITIES)) % 2
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def short_id(mark: bytes) -> int:
     """48 bits of a mark. Two sets may share them; candidates are looked up by mark again."""
     return int.from_bytes(mark[:6], "little")
 
 
 def counted_sets(docs: DataFrame, common: np.ndarray, words: int, percent: int) -> DataFrame:
-    """``doc_id, n, mark, short, need`` per row."""
+    """``doc_id, n, mark, short, need`` and ``PARITIES`` per row."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("mark", pa.binary()), ("short", pa.int64()), ("need", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("mark", pa.binary()), ("short", pa.int64()), ("need", pa.int64()),
+                        *((p, pa.int64()) for p in PARITIES)])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, usual = Bands(percent), Common(shared.value)
         for batch in small_batches(batches, "text", BATCH):
             sets = shingle_sets(batch.column("text").to_pylist(), words)
             marks = [mark_of(s) for s in sets]
+            odd = np.stack([parities(s) for s in sets])
             yield as_table({"doc_id": batch.column("doc_id"), "n": [len(s) for s in sets], "mark": marks,
-                            "short": [m and short_id(m) for m in marks], "need": [needed(s, bands, usual) if len(s) else None for s in sets]}, schema)
+                            "short": [m and short_id(m) for m in marks], "need": [needed(s, bands, usual) if len(s) else None for s in sets],
+                            **{p: odd[:, i] for i, p in enumerate(PARITIES)}}, schema)
 
-    return docs.mapInArrow(rows, "doc_id long, n long, mark binary, short long, need long")
+    return docs.mapInArrow(rows, "doc_id long, n long, mark binary, short long, need long, " + ", ".join(f"{p} long" for p in PARITIES))
 
 
 def common_shingles(docs: DataFrame, rows: int, words: int) -> np.ndarray:
@@ -343,7 +357,11 @@ def matches(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """The rows of ``wanted`` with ``shingles`` in place of ``doc`` and ``want``, the id and mark of a row to take them from."""
+    """The rows of ``wanted`` with ``shingles`` in place of ``doc`` and ``want``, the id and mark of a row to take them from. Up to ``IDS`` ids are
+    broadcast first, so that only texts that are wanted move; beyond that each text moves once."""
+    ids = wanted.select("doc").distinct()
+    if fits(ids, IDS):
+        docs = docs.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
     names = [n for n in wanted.columns if n not in ("doc", "want")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -470,23 +488,29 @@ def with_seekers(members: DataFrame) -> DataFrame:
     return members.join(stored(several, "groups"), "group").withColumn("seeks", F.col("root") != F.col("largest"))
 
 
+def may_link(percent: int) -> Column:
+    """False only for sets (columns ``.._a`` and ``.._b``) whose parities differ in more places than linked sets of their sizes have different elements."""
+    apart = sum((F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in PARITIES), F.lit(0))
+    return (100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+
+
 def later_links(texts: DataFrame, matched: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between different components. ``nodes`` has ``node, short, n, need, component, doc, mark`` per set."""
-    told = nodes.select("node", "short", "n", "need", F.col("component").alias("root"))
+    """Links between different components. ``nodes`` has ``node, short, n, need, component, doc, mark`` and ``PARITIES`` per set."""
+    told = nodes.select("node", "short", "n", "need", F.col("component").alias("root"), *PARITIES)
     groups = matched.filter(F.col("kind") == GROUP).groupBy(F.col("a").alias("group"), F.col("b").alias("short")).agg(F.sum("c").alias("c"))
     members = stored(groups.join(told, "short"), "members")
     met = stored(with_seekers(members), "open")
 
     few = met.filter(F.col("members") <= SEEKERS)
-    left = few.filter("seeks").select("group", "c", *[F.col(x).alias(f"{x}_a") for x in ("node", "n", "need", "root")])
-    right = few.select("group", "seeks", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "need", "root")])
+    left = few.filter("seeks").select("group", "c", *[F.col(x).alias(f"{x}_a") for x in ("node", "n", "need", "root", *PARITIES)])
+    right = few.select("group", "seeks", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "need", "root", *PARITIES)])
     cross = left.join(right, "group").filter(~F.col("seeks") | (F.col("node_a") < F.col("node_b")))
     ends = [told.select(*[F.col(x).alias(f"{x}_{e}") for x in told.columns]) for e in "ab"]
     only = matched.filter(F.col("kind") == PAIR).groupBy(F.col("a").alias("short_a"), F.col("b").alias("short_b")).agg(F.sum("c").alias("c"))
     only = only.join(ends[0], "short_a").join(ends[1], "short_b")
     low, high = F.least("node_a", "node_b"), F.greatest("node_a", "node_b")
     close = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    pairs = [t.filter((F.col("root_a") != F.col("root_b")) & close).select(low.alias("a"), high.alias("b"), "c", F.greatest("need_a", "need_b").alias("need")) for t in (cross, only)]
+    pairs = [t.filter((F.col("root_a") != F.col("root_b")) & close & may_link(percent)).select(low.alias("a"), high.alias("b"), "c", F.greatest("need_a", "need_b").alias("need")) for t in (cross, only)]
     enough = pairs[0].unionByName(pairs[1]).groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("need").alias("need")).filter(F.col("c") >= F.col("need"))
     links = compared_pairs(texts, enough, nodes, words, percent)
 
@@ -647,7 +671,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, words: int = WOR
     common = common_shingles(texts, texts.count(), words)
     rows = stored(counted_sets(texts, common, words, percent), "sets")
     total = rows.agg(F.sum("n")).first()[0] or 0
-    nodes = stored(rows.filter(F.col("mark").isNotNull()).groupBy("mark").agg(F.min("doc_id").alias("doc"), *[F.min(x).alias(x) for x in ("short", "n", "need")])
+    nodes = stored(rows.filter(F.col("mark").isNotNull()).groupBy("mark").agg(F.min("doc_id").alias("doc"), *[F.min(x).alias(x) for x in ("short", "n", "need", *PARITIES)])
                    .withColumn("node", F.monotonically_increasing_id()), "nodes")
     blocks = signature_blocks(texts, common, max(1, 7 * total // PART_BYTES), words, percent)
     matched = stored(blocks.groupBy("part").applyInArrow(matched_sets, "kind int, a long, b long, c long"), "matched")

@@ -256,6 +256,42 @@ def test_linked_sets_share_an_early_shingle():
     assert linked > 1_000
 
 
+def test_parities_let_every_linked_pair_through(spark):
+    rng, rows = random.Random(6), []
+    for _ in range(2_000):
+        base = rng.sample(range(1, 1 << 40), rng.randint(1, 200))
+        x, y = (np.unique(shingle_join.mixed(np.array([v for v in base if rng.random() > 0.06] + rng.sample(range(1, 1 << 40), rng.randint(1, 9)), np.uint64)))
+                for _ in range(2))
+        both = len(np.intersect1d(x, y))
+        rows.append((100 * both >= 80 * (len(x) + len(y) - both), len(x), len(y), *shingle_join.parities(x).tolist(), *shingle_join.parities(y).tolist()))
+    named = ["linked", "n_a", "n_b", *[f"{p}_{e}" for e in "ab" for p in shingle_join.PARITIES]]
+    told = spark.createDataFrame(rows, named).select("linked", shingle_join.may_link(80).alias("may")).collect()
+    assert sum(r.linked for r in told) > 100 and all(r.may for r in told if r.linked)
+
+
+@pytest.mark.parametrize("ids", [1 << 20, 0])
+def test_only_pairs_that_can_link_are_compared(spark, monkeypatch, ids):
+    """Texts that have a word run in common are candidates of each other by a signature and nothing else."""
+    rng, compared = random.Random(12), []
+    text = lambda n: [rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(999)) for _ in range(n)]
+    texts = []
+    for _ in range(30):
+        passage = text(6)
+        texts += [" ".join(text(8) + passage + text(8)) for _ in range(20)]
+    texts += [f"{t} more" for t in texts[:5]]
+    whole = shingle_join.compared_pairs
+
+    def watched(texts, pairs, *rest):
+        compared.append(pairs.count())
+        return whole(texts, pairs, *rest)
+
+    monkeypatch.setattr(shingle_join, "compared_pairs", watched)
+    monkeypatch.setattr(shingle_join, "IDS", ids)
+    got = {r.doc_id: r.component_id for r in shingle_join.jaccard_components(documents(spark, texts)).collect()}
+    assert got == {i: i if i < 600 else i - 600 for i in range(605)}
+    assert compared and max(compared) <= 50
+
+
 def test_jaccard_edges(spark):
     docs = documents(spark, ["a b c d e f", None]).unionAll(spark.createDataFrame([(None, "a b c d e f", None, None, 1, 1)] * 2 + [(0, "a b c d e f", None, None, 1, 1)], DOC))
     got = sorted(map(tuple, shingle_join.jaccard_components(docs).collect()), key=str)
