@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,7 +14,7 @@ from pyspark.sql.functions import arrow_udf
 from ..functions import fixed_values as V
 from ..functions import porter
 from ..functions import text as X
-from ..session import BROADCAST_ROWS, fits
+from ..session import BROADCAST_ROWS, fits, stored
 
 SALTS = 32
 KNOWN = 200_000
@@ -124,13 +124,14 @@ def _guesses(word: Column) -> Column:
 
 
 def lemma_table(words: DataFrame) -> DataFrame:
-    """Words whose singular, by the noun endings, is itself a word of the corpus."""
-    known = words.select("word").distinct()
+    """Words whose singular, by the noun endings, is itself a word of the corpus. The distinct words and the answer are written, so the texts that
+    ``words`` come from are read once."""
+    known = stored(words.select("word").distinct(), "words")
     tried = known.filter(F.col("word").endswith("s") & ~F.col("word").endswith("ss") | F.col("word").endswith("men"))
     tried = tried.select("word", F.explode(_guesses(F.col("word"))).alias("lemma"))
     found = tried.join(known.select(F.col("word").alias("lemma")), "lemma", "left_semi")
     best = F.min(F.struct(F.length("lemma").alias("size"), F.col("lemma").alias("lemma")))
-    return found.groupBy("word").agg(best.alias("best")).select("word", F.col("best.lemma").alias("lemma"))
+    return stored(found.groupBy("word").agg(best.alias("best")).select("word", F.col("best.lemma").alias("lemma")), "lemmas")
 
 
 def look_up(tokens: DataFrame, mapping: DataFrame, key: str, value: str, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -194,8 +195,12 @@ def map_tokens(df: DataFrame, tokens: str, out: str, table: DataFrame) -> DataFr
 
 
 def preprocess(pages: DataFrame, use_stemming: bool = True, use_lemmatization: bool = False,
-               min_freq: int = 2) -> DataFrame:
-    """The full preprocessing record of each page; stems first when both switches are on."""
+               min_freq: int = 2, keep: Sequence[str] | None = None) -> DataFrame:
+    """The full preprocessing record of each page; stems first when both switches are on. Lemmas need the words of all pages before those of a page: with
+    ``keep``, the columns wanted besides ``final_tokens``, these are written once instead of made twice."""
     df = book_columns(pages, min_freq).withColumnRenamed("text", "original_text")
     df = df.withColumn("final_tokens", stem_tokens("rare_filtered_tokens") if use_stemming else F.col("rare_filtered_tokens"))
+    if keep is not None:
+        df = df.select(*keep, "final_tokens")
+        df = stored(df, "record") if use_lemmatization else df
     return lemmatise(df, "final_tokens", "final_tokens") if use_lemmatization else df

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import text as X
 from ..operators import words as WD
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources import files, tables
 from . import sqltext as S
 from .registry import query
@@ -254,7 +254,7 @@ def review_lemmas(spark, folder):
 
 @query("page_lemmas", S.with_tables("repeated", "book_lemmas", _sql_lemma_lists("SELECT row_id, string_split(repeated, ' ') AS t FROM repeated", "book_lemmas")))
 def page_lemmas(spark, folder):
-    record = WD.preprocess(tables.page_docs(spark, folder), use_stemming=False, use_lemmatization=True)
+    record = WD.preprocess(tables.page_docs(spark, folder), use_stemming=False, use_lemmatization=True, keep=["row_id"])
     return record.select("row_id", F.array_join("final_tokens", " ").alias("tokens"))
 
 
@@ -262,6 +262,7 @@ def page_lemmas(spark, folder):
     "review_tokens", "lemmas", "SELECT t.row_id, CAST(t.pos - 1 AS INT) AS pos, coalesce(l.lemma, t.token) AS lemma FROM (SELECT row_id,"
     " unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM review_tokens) t LEFT JOIN lemmas l ON t.token = l.word"))
 def lemma_join(spark, folder):
-    tokens = X.each(WD.review_tokens(tables.reviews(spark, folder)), ["row_id"], F.col("tokens"), "word", place="pos")
-    lemmas = WD.lemma_table(tokens.select("word"))
+    reviews = stored(WD.review_tokens(tables.reviews(spark, folder)).select("row_id", "tokens"), "review-tokens")
+    tokens = X.each(reviews, ["row_id"], F.col("tokens"), "word", place="pos")
+    lemmas = WD.lemma_table(WD.distinct_words(reviews, "tokens"))
     return WD.look_up(tokens, lemmas, "word", "lemma").select("row_id", "pos", "lemma")

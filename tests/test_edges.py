@@ -83,6 +83,23 @@ def test_stems_and_lemmas_stay_in_their_rows(spark):
     assert joined == {1: ["pony", "pony", None, "cats"], 2: []}
 
 
+@pytest.mark.parametrize("name", ["page_lemmas", "lemma_join"])
+def test_texts_are_cleaned_once_for_lemmas(spark, tmp_path, name):
+    """The plan that makes the result reads a stored table, not the documents."""
+    from quillspark.plans.catalog import QUERIES
+    docs = [(1, "Cats and dogs like cats and dogs. A cat is no dog.", "en", "book.pdf", 50), (2, "", "en", "book.pdf", 0), (3, None, "en", "book.pdf", 0),
+            (4, "The cat met the cat, the dog met the dog.", "en", "book.pdf", 40)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    made = QUERIES[name](spark, str(tmp_path))
+    assert not any("documents.parquet" in f for f in made.inputFiles())
+    rows = {tuple(r) for r in made.collect()}
+    if name == "lemma_join":
+        assert {r[2] for r in rows if r[0] == 1} == {"cat", "dog", "like"}
+    else:
+        assert {r for r in rows if r[0] == 1} == {(1, "cat dog cat dog")}
+
+
 def test_look_up_beyond_the_broadcast_bound(spark):
     tokens = spark.createDataFrame([(i, 0, "cats" if i % 2 else f"w{i}") for i in range(50)], "row_id int, pos int, word string")
     table = spark.createDataFrame([("cats", "cat"), ("w2", "v2")], "word string, lemma string")
