@@ -172,7 +172,7 @@ class KernelMachine:
     """Support vector machines on the kernel's features, one per pair of classes, which vote; with ``probability`` also coupled class probabilities.
 
     A pair's probability is a logistic function of its margin (Platt, 1999), fitted on margins of rows that the machine has not seen, fold by fold. The
-    machines of all pairs are fitted at the same time and applied in one pass.
+    machines of all pairs and folds are fitted at the same time, ``parallel`` of them, and applied in one pass.
     """
 
     def __init__(self, C: float = 1.0, gamma: str | float = "scale", kernel: str = "rbf", class_weight: str | None = None, max_iter: int = 100,
@@ -190,36 +190,46 @@ class KernelMachine:
         data = split.random_folds(data, "id", self.folds).select("label", short.alias("features"), "w", "fold").persist()
         self.classes = [r[0] for r in data.select("label").distinct().orderBy("label").collect()]
         pairs = [(a, b) for i, a in enumerate(self.classes) for b in self.classes[i + 1:]]
+        left_out = [None, *range(self.folds)] if self.probability else [None]
         with ThreadPoolExecutor(self.parallel) as pool:
-            found = list(pool.map(lambda p: self._pair(data, *p), pairs))
+            made = list(pool.map(lambda j: self._machine(data, *j), [(p, f) for p in pairs for f in left_out]))
+            made = [made[i:i + len(left_out)] for i in range(0, len(made), len(left_out))]
+            platt = list(pool.map(lambda j: self._platt(data, *j), [(p, m[1:]) for p, m in zip(pairs, made)]))
         data.unpersist()
-        self.axes = np.array([f[0] for f in found]).reshape(len(found), -1) / self.norm
-        self.offset = np.array([f[1] for f in found])
-        self.platt = np.array([f[2] for f in found]).reshape(-1, 2)
+        self.axes = np.array([m[0][0] for m in made]).reshape(len(made), -1) / self.norm
+        self.offset = np.array([m[0][1] for m in made])
+        self.platt = np.array(platt).reshape(-1, 2)
         return self
 
-    def _machine(self, rows: DataFrame) -> tuple[np.ndarray, float]:
+    def _rows(self, data: DataFrame, pair: tuple[float, float]) -> DataFrame:
+        return data.filter(F.col("label").isin(*pair)).withColumn("label", (F.col("label") == pair[0]).cast("double"))
+
+    def _machine(self, data: DataFrame, pair: tuple[float, float], left_out: int | None) -> tuple[np.ndarray, float] | None:
+        """The machine of a pair, on all its rows or on those outside a fold; none if these are of one class."""
+        rows = self._rows(data, pair)
+        if left_out is not None:
+            rows = rows.filter(F.col("fold") != left_out)
+            if rows.select("label").distinct().count() < 2:
+                return None
         model = margin_machine(rows.agg(F.sum("w")).head()[0], self.C * self.norm ** 2, self.max_iter).fit(rows)
         return model.coefficients.toArray(), model.intercept
 
-    def _pair(self, data: DataFrame, a: float, b: float) -> tuple[np.ndarray, float, tuple[float, float]]:
-        rows = data.filter(F.col("label").isin(a, b)).withColumn("label", (F.col("label") == a).cast("double"))
-        axes, offset = self._machine(rows)
-        if not self.probability:
-            return axes, offset, (0.0, 0.0)
-        unseen = None
-        for f in range(self.folds):
-            learnt = rows.filter(F.col("fold") != f)
-            if learnt.select("label").distinct().count() < 2:
+    def _platt(self, data: DataFrame, pair: tuple[float, float], machines: list[tuple[np.ndarray, float] | None]) -> tuple[float, float]:
+        """The logistic function of a pair; ``machines`` are those that have not seen fold 0, 1 and so on."""
+        unseen, rows = None, self._rows(data, pair)
+        for f, machine in enumerate(machines):
+            if machine is None:
                 continue
-            one, shift = self._machine(learnt)
+            one, shift = machine
             margin = F.aggregate(F.zip_with(vector_to_array("features"), F.lit(one.tolist()), lambda x, y: x * y), F.lit(float(shift)), lambda s, x: s + x)
             part = rows.filter(F.col("fold") == f).select("label", array_to_vector(F.array(margin)).alias("features"))
             unseen = part if unseen is None else unseen.unionAll(part)
+        if not self.probability:
+            return 0.0, 0.0
         if unseen is None or unseen.select("label").distinct().count() < 2:
-            return axes, offset, (1.0, 0.0)
+            return 1.0, 0.0
         fitted = LogisticRegression(standardization=False, regParam=1e-3).fit(unseen)
-        return axes, offset, (float(fitted.coefficients[0]), fitted.intercept)
+        return float(fitted.coefficients[0]), fitted.intercept
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """``(id, y, p)`` and, with ``probability``, ``probabilities`` in order of ``classes``."""

@@ -367,6 +367,26 @@ def test_kernel_machine(spark, kernel):
         assert np.allclose(probabilities.sum(axis=1), 1) and np.mean(probabilities.argmax(axis=1) == [r["y"] for r in found]) > 0.9
 
 
+def test_machines_of_all_folds_are_fitted_at_the_same_time(spark, monkeypatch):
+    import threading
+
+    from quillspark.operators import learners as L
+    rows = [(i, float(i % 2), [float(i % 2) + (i % 7) / 9, (i % 5) / 9]) for i in range(90)]
+    data = L.to_vectors(spark.createDataFrame(rows, "id long, label double, vector array<double>"))
+    made, together, whole = L.margin_machine, threading.Barrier(4), []
+
+    def watched(*args):
+        together.wait(60)  # broken if the four fits come one after the other
+        whole.append(args)
+        return made(*args)
+
+    monkeypatch.setattr(L, "margin_machine", watched)
+    machine = L.KernelMachine(kernel="linear", probability=True).fit(data)
+    assert len(whole) == 4
+    shown = machine.predict(data).collect()
+    assert sum(r["y"] == r["p"] for r in shown) >= 80 and all(abs(sum(r["probabilities"]) - 1) < 1e-9 for r in shown)
+
+
 def test_own_models_reload(spark):
     rows = line(spark)
     boosted = learners.AdaBoost(4).fit(rows)
