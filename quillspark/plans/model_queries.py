@@ -233,7 +233,7 @@ _RULES = "SELECT antecedent, consequent, " + ", ".join(f"{r6(c)} AS {c}" for c i
 
 
 def baskets(spark, folder):
-    return WD.review_tokens(tables.reviews(spark, folder)).select("row_id", X.distinct_items(F.col("tokens")).alias("items"))
+    return WD.review_tokens(tables.review_texts(spark, folder)).select("row_id", X.distinct_items(F.col("tokens")).alias("items"))
 
 
 @query("frequent_itemsets", S.with_tables("itemsets", f"SELECT array_to_string(items, '|') AS items, freq, {r6('support')} AS support FROM itemsets"))

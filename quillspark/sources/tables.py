@@ -62,6 +62,14 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
         F.col("doc_id").alias("row_id"), F.col("text").alias("reviewText"), rating.alias("overall"))
 
 
+def review_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of ``reviews`` without the rating. Texts are not moved to their labels: labels are counted, and only ids with several go to the texts."""
+    several = table(spark, folder, "labels").groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("_n")).filter(F.col("_n") > 1)
+    met = texts(spark, folder).select("doc_id", "text").join(small_side(several), "doc_id", "left")
+    each = F.explode(F.array_repeat(F.lit(0), F.coalesce("_n", F.lit(1))))
+    return met.select(F.col("doc_id").alias("row_id"), F.col("text").alias("reviewText"), each.alias("_copy")).drop("_copy")
+
+
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("vec_id"), "text", "source")
     return table(spark, folder, "embeddings").join(docs, "vec_id", "left").select(

@@ -11,7 +11,7 @@ from quillspark.functions import text as X
 from quillspark.operators import answers, classify, cluster, features, learners, metrics, nearest, rules, split, vectorize
 from quillspark.operators import words as WD
 from quillspark.operators.vector_table import VectorTable
-from quillspark.plans import books
+from quillspark.plans import books, model_queries
 from quillspark.session import scratch_path
 from quillspark.sources import artefacts, tables
 
@@ -325,6 +325,25 @@ def test_page_docs_keeps_null_and_repeated_ids(spark, tmp_path):
     assert got[0, "e", None] == 1 and got[None, "f", None] == 2
 
 
+def test_basket_rows_are_those_of_reviews_without_moving_texts(spark, tmp_path, capsys, monkeypatch):
+    docs = [(1, "a b"), (2, "c"), (2, "d"), (None, "e"), (3, None), (5, "f g")]
+    labels = [(1, 1, 0), (1, 0, 0), (1, None, 1), (2, 1, 1), (2, 1, 1), (None, 1, 0), (None, 0, 0), (4, 1, 0), (5, 0, 0)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for labels beyond it
+    try:
+        model_queries.baskets(spark, str(tmp_path)).explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in capsys.readouterr().out
+    want = tables.reviews(spark, str(tmp_path)).select("row_id", "reviewText").collect()
+    for rows in (200_000, 0):
+        monkeypatch.setattr("quillspark.session.fits", lambda df, _: rows > 0)
+        got = tables.review_texts(spark, str(tmp_path))
+        assert got.columns == ["row_id", "reviewText"] and sorted(map(str, got.collect())) == sorted(map(str, want)) and len(want) == 10
+
+
 def test_itemsets_in_rounds_match_counting(spark, monkeypatch):
     rng = np.random.default_rng(11)
     baskets = [sorted({str(x) for x in rng.integers(0, 14, size=rng.integers(0, 9))}) for _ in range(400)] + [None, [None, "1"], ["1", "2", "3"]]
