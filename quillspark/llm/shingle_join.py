@@ -368,7 +368,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for batch in small_batches(batches, "text", BATCH):
             sets = shingle_sets(batch.column("text").to_pylist(), words)
             keep = [i for i, (s, m) in enumerate(zip(sets, batch.column("want").to_pylist())) if mark_of(s) == m]
-            part = batch.take(pa.array(keep, pa.int64()))
+            part = batch.select(names).take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array([sets[i].tobytes() for i in keep], pa.binary())], [*names, "shingles"])
 
     met = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("doc"))).select(*names, "want", "text")
@@ -525,8 +525,8 @@ def tallies(sets: DataFrame) -> np.ndarray:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(TALLY, np.int64)
-        for batch in batches:
-            held += np.bincount(tally_place(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)), minlength=TALLY)
+        for batch in small_batches(batches, "shingles", BATCH):
+            np.add.at(held, tally_place(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)), 1)
         at = np.flatnonzero(held > 1)
         yield as_table({"place": at.astype(np.int32), "n": held[at]}, schema)
 
@@ -552,7 +552,7 @@ def prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         usual = shared.value
-        for batch in batches:
+        for batch in small_batches(batches, "shingles", BATCH):
             firsts, counts, sizes = [], [], []
             for raw in batch.column("shingles").to_pylist():
                 x = np.frombuffer(raw, np.uint64)
@@ -561,8 +561,8 @@ def prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
                 counts.append(len(firsts[-1]))
                 sizes.append(len(x))
             owner = np.repeat(np.arange(len(counts)), counts)
-            told = batch.take(pa.array(owner, pa.int64()))
-            yield as_table({"shingle": np.concatenate(firsts).view(np.int64) if firsts else [], "at": [i for c in counts for i in range(c)],
+            told = batch.select(["node", "root", "seeks"]).take(pa.array(owner, pa.int64()))  # not the set itself, which would be copied for each entry
+            yield as_table({"shingle": np.concatenate(firsts).view(np.int64), "at": np.concatenate([np.arange(c, dtype=np.int32) for c in counts]),
                             **{c: told.column(c) for c in ("node", "root", "seeks")}, "n": np.array(sizes, np.int64)[owner]}, schema)
 
     return sets.mapInArrow(rows, "shingle long, at int, node long, root long, seeks boolean, n long")

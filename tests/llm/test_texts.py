@@ -5,8 +5,10 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillspark.llm import html_text, langid, mixing, packing, queries, repeated_spans, shingle_join, suffix_array, surrogates, warc
@@ -256,6 +258,28 @@ def test_linked_sets_share_an_early_shingle():
     assert linked > 1_000
 
 
+def test_starts_of_long_sets_are_listed_without_copies_of_the_set(spark, monkeypatch):
+    """A set is not repeated for each of its entries, which for sets of 20,000 shingles takes 0.6 GB each."""
+    sizes = [20_000, 1, 30, 15_000]
+    sets = [np.sort(shingle_join.mixed(np.arange(1 + 100_000 * i, 1 + 100_000 * i + n, dtype=np.uint64))) for i, n in enumerate(sizes)]
+    batch = pa.RecordBatch.from_pydict({"node": [0, 1, 2, 3], "root": [0, 1, 0, 1], "seeks": [False, False, False, True], "shingles": [x.tobytes() for x in sets]})
+    monkeypatch.setattr(shingle_join, "tallies", lambda _: np.zeros(shingle_join.TALLY, np.int64))
+    rows = shingle_join.prefix_entries(SimpleNamespace(sparkSession=spark, mapInArrow=lambda made, _: made), 80)
+    usual = pa.default_memory_pool()
+    pool = pa.proxy_memory_pool(usual)
+    pa.set_memory_pool(pool)
+    try:
+        found = [r for b in rows(iter([batch])) for r in b.to_pylist()]
+    finally:
+        pa.set_memory_pool(usual)
+    assert pool.max_memory() < 16 << 20
+    for i, x in enumerate(sets):
+        own = [r for r in found if r["node"] == i]
+        length = shingle_join.prefix(len(x), -(-80 * len(x) // 100), 80)
+        assert [r["at"] for r in own] == list(range(length)) and {(r["root"], r["seeks"], r["n"]) for r in own} == {(i % 2, i == 3, len(x))}
+        assert len({r["shingle"] for r in own}) == length and {r["shingle"] for r in own} <= set(x.view(np.int64).tolist())
+
+
 def test_parities_let_every_linked_pair_through(spark):
     rng, rows = random.Random(6), []
     for _ in range(2_000):
