@@ -10,7 +10,8 @@ cannot be followed by another is not taken. A state also carries the word that i
 word, and so do not rest on hashes of nodes. States left after ``LEVELS`` levels are looked up the same way at once.
 
 Nodes have at most as many edges as the alphabet has characters. Edges and states are shuffled by node in ordinary joins, which Spark splits when one node
-has many states. Words longer than ``LONG`` enter the frontier only at nodes that branch, found with narrow rows.
+has many states. Spark takes the size of a table made by these functions from the few words it was made of, so joins are marked not to broadcast by it; only
+states that were counted are. Words longer than ``LONG`` enter the frontier only at nodes that branch, found with narrow rows.
 
 Edge cases: a null text has no words, a null id reads as an empty one. Repeated rows count each. Ties go to the smaller word in code-point order. Texts
 are read whole, whatever their length. An empty table, or one without frequent words, gives no rows. Other columns of the input are ignored.
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import fits
-from .shared import forget, kept, small_batches, stored
+from .shared import dealt, forget, kept, small_batches, stored
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
@@ -154,9 +155,9 @@ def entries(words: DataFrame, edges: DataFrame) -> DataFrame:
     short = words.filter(F.length("word") <= LONG).select("word").mapInArrow(states, kind)
     long = words.filter(F.length("word") > LONG).select("word")
     branching = edges.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("node")
-    met = long.mapInArrow(narrow, kind.replace("string", "long")).join(branching, "node", "left_semi")
+    met = long.mapInArrow(narrow, kind.replace("string", "long")).join(dealt(branching), "node", "left_semi")
     texts = long.mapInArrow(oriented, "id long, text string")
-    return short.unionAll(met.join(texts, F.col("word") == F.col("id")).select(F.col("text").alias("word"), "back", "i", "node"))
+    return short.unionAll(met.join(dealt(texts), F.col("word") == F.col("id")).select(F.col("text").alias("word"), "back", "i", "node"))
 
 
 def _char(at: Column) -> Column:
@@ -186,13 +187,13 @@ def first_edits(states: DataFrame, edges: DataFrame) -> DataFrame:
     options = F.array_compact(F.array(
         F.when(replaced, option(F.concat(before, c, rest(i + 1)), i + 1)), F.when(inserted, option(F.concat(before, c, rest(i)), i)),
         F.when(deleted, option(F.concat(before, rest(i + 1)), F.least(i + 2, size)))))
-    met = states.join(edges, "node").filter(replaced | inserted | deleted)
+    met = states.join(dealt(edges), "node").filter(replaced | inserted | deleted)
     return met.select("word", "back", F.explode(options).alias("o"), F.col("child").alias("node")).select("word", "back", "o.made", "o.i", "node")
 
 
 def next_level(states: DataFrame, edges: DataFrame) -> DataFrame:
     """The states that match the word's next character."""
-    met = (F.broadcast(states) if fits(states, SMALL) else states).join(edges, "node").filter((F.col("c") == _char(F.col("i"))) & _can(F.col("i") + 1))
+    met = (F.broadcast(states) if fits(states, SMALL) else dealt(states)).join(edges, "node").filter((F.col("c") == _char(F.col("i"))) & _can(F.col("i") + 1))
     return met.select("word", "back", "made", (F.col("i") + 1).alias("i"), F.col("child").alias("node"))
 
 
@@ -215,7 +216,7 @@ def neighbours(words: DataFrame, levels: int = LEVELS) -> DataFrame:
         found = found.unionAll(more)
     turned = lambda c: F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c))
     pairs = found.select(turned("word").alias("word"), turned("made").alias("near")).distinct()
-    return pairs.join(words.select(F.col("word").alias("near"), "n"), "near").select("word", "near", "n")
+    return pairs.join(dealt(words.select(F.col("word").alias("near"), "n")), "near").select("word", "near", "n")
 
 
 def roots_of(links: DataFrame) -> DataFrame:
@@ -224,7 +225,7 @@ def roots_of(links: DataFrame) -> DataFrame:
     roots, path = kept(links.select("word", F.col("form").alias("root")), "roots")
     while True:
         hop = roots.select(F.col("word").alias("_word"), F.col("root").alias("_root"))
-        moved = roots.join(hop, F.col("root") == F.col("_word"), "left")
+        moved = roots.join(dealt(hop), F.col("root") == F.col("_word"), "left")
         new, new_path = kept(moved.select("word", F.coalesce("_root", "root").alias("root"), F.col("_root").isNotNull().alias("moved")), "roots")
         forget(spark, path)
         roots, path = new, new_path
@@ -239,9 +240,9 @@ def group_variants(docs: DataFrame, least_length: int = 6, least_count: int = 5,
     """
     words = stored(count_words(docs, damage).filter((F.length("word") >= least_length) & (F.col("n") >= least_count)), "words")
     best = neighbours(words, levels).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n")).alias("less"), F.col("near").alias("form"))).alias("best"))
-    forms = words.join(best, "word", "left")
+    forms = words.join(dealt(best), "word", "left")
     strong = -F.col("best.less") >= ratio * F.col("n")
     forms = stored(forms.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(strong, F.col("best.form")).alias("form"),
                                 F.when(strong, -F.col("best.less")).alias("form_n")), "forms")
     roots = roots_of(forms.filter("form IS NOT NULL"))
-    return forms.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return forms.join(dealt(roots), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

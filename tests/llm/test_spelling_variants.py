@@ -73,3 +73,13 @@ def test_small_alphabet(spark):
 def test_whole_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
     assert found(queries.op11_spelling_variants(spark, FOLDER)) == brute([tuple(d) for d in docs], 199)
+
+
+def test_spark_broadcasts_no_side_by_its_own_estimate(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL", -1)
+    words = S.stored(spark.createDataFrame([("aab" * n, 5) for n in range(2, 40)] + [("aac" * n, 50) for n in range(2, 40)], "word string, n long"), "words")
+    edges = S.stored(S.trie_edges(words), "trie")
+    states = S.first_edits(S.entries(words, edges), edges)
+    links = words.select("word", S.F.lit("x").alias("form"))
+    for made in (states, S.next_level(states, edges), S.neighbours(words, 1), S.roots_of(links), S.group_variants(words.select(S.F.col("n").alias("doc_id"), S.F.col("word").alias("text")))):
+        assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
