@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import gc
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
 from itertools import product
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
     DecisionTreeClassifier,
     GBTClassifier,
     LinearSVC,
@@ -20,17 +23,22 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..session import cut_lineage
+from ..session import cut_lineage, forget, scratch_path
 from . import metrics, split
 
 DEEPEST = 30
 CHECKPOINT_EVERY = 10
 PARALLEL = 8
+#: Spark's driver holds all nodes of the trees it grows and of a model it applies, some 500 bytes of heap for each row of each tree. So many rows times trees
+#: are grown at a time.
+GROWN = 600_000
+SEED_STEP = 1_000_003
 
 # fixed values: the search spaces, as far as Spark's learners know the parameters
 SEARCH = {
@@ -55,7 +63,7 @@ def weighted(rows: DataFrame, class_weight: str | None) -> DataFrame:
     return rows.join(F.broadcast(split.class_weights(rows, "label").select("label", F.col("weight").alias("w"))), "label")
 
 
-def shown(model: Model, rows: DataFrame) -> DataFrame:
+def shown(model: Model | Forest, rows: DataFrame) -> DataFrame:
     return model.transform(rows).select("id", F.col("label").alias("y"), F.col("prediction").alias("p"))
 
 
@@ -65,18 +73,86 @@ def logistic(train: DataFrame, C: float = 1.0, penalty: str = "l2", class_weight
                               standardization=False, maxIter=max_iter).fit(data)
 
 
+class Forest:
+    """A forest that the driver does not hold at once. ``models`` gives its parts one after another; one is grown or loaded after the last is gone."""
+
+    def __init__(self, models: Callable[[], Iterator[Model]]):
+        self.models = models
+
+    @cached_property
+    def featureImportances(self) -> DenseVector:
+        total = 0.0
+        for model in self.models():
+            total = total + sum(t.featureImportances.toArray() for t in getattr(model, "trees", [model]))
+            del model
+            gc.collect()  # else Python keeps the part alive in the driver's heap
+        return DenseVector(total / (total.sum() or 1.0))
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``rawPrediction, probability, prediction`` from the votes of all trees. The votes so far are stored after each part."""
+        spark, old = rows.sparkSession, None
+        for model in self.models():
+            vote = "rawPrediction" if hasattr(model, "trees") else "probability"  # a single tree's counts are no votes
+            judged = model.transform(rows)
+            votes = vector_to_array(vote)
+            judged = judged.withColumn("_votes", votes if old is None else F.zip_with(votes, "_votes", lambda x, y: x + y))
+            judged = judged.drop("rawPrediction", "probability", "prediction")
+            new = scratch_path(spark, "votes")
+            judged.write.parquet(new)
+            rows = spark.read.schema(judged.schema).parquet(new)
+            if old is not None:
+                forget(spark, old)
+            old = new
+            del model, judged
+            gc.collect()
+        total = F.aggregate("_votes", F.lit(0.0), lambda s, x: s + x)
+        return rows.withColumns({"rawPrediction": array_to_vector("_votes"), "probability": array_to_vector(F.transform("_votes", lambda x: x / total)),
+                                 "prediction": (F.array_position("_votes", F.array_max("_votes")) - 1).cast("double")}).drop("_votes")
+
+    def save(self, path: str) -> None:
+        """One folder for each tree: Spark saves no model of many nodes."""
+        n = 0
+        for model in self.models():
+            for tree in getattr(model, "trees", [model]):
+                tree.write().overwrite().save(f"{path}/tree-{n:05}")
+                n += 1
+            del model, tree
+            gc.collect()
+        SparkSession.active().createDataFrame([(n,)], "trees int").write.mode("overwrite").parquet(f"{path}/forest")
+
+    @classmethod
+    def load(cls, path: str) -> Forest:
+        n = SparkSession.active().read.parquet(f"{path}/forest").head()[0]
+        return cls(lambda: (DecisionTreeClassificationModel.load(f"{path}/tree-{i:05}") for i in range(n)))
+
+
+def grown(estimator: RandomForestClassifier, train: DataFrame) -> Model | Forest:
+    """One model, or where its nodes would be more than the driver should hold, a :class:`Forest` of as many trees, which grows its parts when it is used.
+
+    The parts of a forest differ in their seeds. Each use, as to predict rows or to save the trees, grows them again.
+    """
+    trees = estimator.getNumTrees()
+    leaves = min(-(-train.count() // estimator.getMinInstancesPerNode()), 1 << estimator.getMaxDepth())
+    parts = min(trees, -(-trees * leaves // GROWN))
+    if parts <= 1:
+        return estimator.fit(train)
+    seeds = [V.SEED + SEED_STEP * i for i in range(parts)]
+    sizes = [trees * (i + 1) // parts - trees * i // parts for i in range(parts)]
+    return Forest(lambda: (estimator.copy({estimator.numTrees: n, estimator.seed: s}).fit(train) for n, s in zip(sizes, seeds)))
+
+
 def random_forest(train: DataFrame, n_estimators: int = 100, max_depth: int | None = None, min_samples_leaf: int = 1,
-                  class_weight: str | None = None) -> Model:
-    return RandomForestClassifier(weightCol="w", numTrees=n_estimators, maxDepth=max_depth or DEEPEST, minInstancesPerNode=min_samples_leaf,
-                                  featureSubsetStrategy="sqrt", cacheNodeIds=True, seed=V.SEED).fit(weighted(train, class_weight))
+                  class_weight: str | None = None) -> Model | Forest:
+    return grown(RandomForestClassifier(weightCol="w", numTrees=n_estimators, maxDepth=max_depth or DEEPEST, minInstancesPerNode=min_samples_leaf,
+                                        featureSubsetStrategy="sqrt", cacheNodeIds=True, seed=V.SEED), weighted(train, class_weight))
 
 
 def decision_tree(train: DataFrame, max_depth: int = DEEPEST) -> Model:
     return DecisionTreeClassifier(maxDepth=max_depth, seed=V.SEED).fit(train)
 
 
-def bagging(train: DataFrame, n_trees: int = 10) -> Model:
-    return RandomForestClassifier(numTrees=n_trees, maxDepth=DEEPEST, featureSubsetStrategy="all", bootstrap=True, cacheNodeIds=True, seed=V.SEED).fit(train)
+def bagging(train: DataFrame, n_trees: int = 10) -> Model | Forest:
+    return grown(RandomForestClassifier(numTrees=n_trees, maxDepth=DEEPEST, featureSubsetStrategy="all", bootstrap=True, cacheNodeIds=True, seed=V.SEED), train)
 
 
 def gradient_boosting(train: DataFrame, n_trees: int = 100, depth: int = 3, rate: float = 0.1) -> Model:
@@ -357,7 +433,7 @@ class AdaBoost:
         return scored.select("id", F.col("label").alias("y"), best.alias("p"))
 
 
-def importances(model: Model, train: DataFrame, top: int = 20) -> DataFrame:
+def importances(model: Model | Forest, train: DataFrame, top: int = 20) -> DataFrame:
     """Components of highest importance. The numbers name components, not terms."""
     values = model.featureImportances.toArray()
     rows = sorted(((int(i), float(v)) for i, v in enumerate(values)), key=lambda r: (-r[1], r[0]))[:top]
@@ -418,7 +494,7 @@ def tune(name: str, folded: DataFrame, space: dict | None = None, fit_predict: C
 
 
 def save(model, path: str) -> None:
-    """A Spark model in Spark's format; naive Bayes and AdaBoost by their own ``save``."""
+    """A Spark model in Spark's format; naive Bayes, AdaBoost and a :class:`Forest` by their own ``save``."""
     if isinstance(model, Model):
         PipelineModel([model]).write().overwrite().save(path)
     else:
