@@ -338,6 +338,21 @@ def test_languages(spark):
     assert langid.identify(odd.limit(0)).count() == 0
 
 
+def test_languages_count_every_gram(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs = docs.unionAll(docs.limit(9)).select("doc_id", "text", "lang")
+    small, large = langid.learn(docs), langid.learn(docs, max_grams=10)
+    assert (small.langs, small.floor) == (large.langs, large.floor) and len(small.langs) == 4
+    for k in range(1, langid.ORDER + 1):
+        for a, b in ((small.grams[k], large.grams[k]), (small.contexts[k], large.contexts[k])):
+            np.testing.assert_array_equal(a.keys, b.keys)
+            np.testing.assert_array_equal(a.start, b.start)
+            np.testing.assert_allclose(a.values, b.values, rtol=1e-5, atol=1e-6)
+    rows, same = (sorted(map(tuple, langid.predict(docs, m).select("doc_id", "held_out", "lang_pred", "rejected", "cross_entropy").collect()), key=str) for m in (small, large))
+    assert [r[:4] for r in rows] == [r[:4] for r in same]
+    np.testing.assert_allclose([r[4] for r in rows], [r[4] for r in same], rtol=1e-5)
+
+
 def test_language_probabilities_sum_to_one():
     rng = np.random.default_rng(3)
     grams = np.unique(rng.integers(97, 101, (60, 3)).astype(np.uint32), axis=0)
