@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import text as X
-from ..session import stored
+from ..session import forget, scratch_path, stored
 from . import embed, vectorize
 from . import words as WD
 from .inverted_index import InvertedIndex, _ranked
@@ -45,9 +45,12 @@ class Collection:
     @classmethod
     def make(cls, spark: SparkSession, path: str, chunks: DataFrame, spec: vectorize.VectorizerSpec = vectorize.BOOK_TFIDF) -> Collection:
         """A new collection of ``chunk_id, source, page, text`` and, if there, ``original_text``."""
-        made = cls(spark, path)
+        made, given = cls(spark, path), scratch_path(spark, "given")
+        chunks.write.parquet(given)  # read several times, to fit and to add
+        chunks = spark.read.schema(chunks.schema).parquet(given)
         made.index.save_vocabulary(vectorize.fit(chunks, "text", spec))
         made.add(chunks)
+        forget(spark, given)
         return made
 
     def add(self, chunks: DataFrame) -> None:

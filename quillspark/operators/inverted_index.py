@@ -3,7 +3,8 @@
 Texts are put into blocks by their heaviest term. A block's texts have places, and a posting row holds what one term has in one block: the places, the
 weights, and the largest weight. Rows are partitioned by ranges of terms, so a search reads the rows of the terms that are asked for and no others. A task
 gets whole blocks, one after the other; the largest weights bound what a block can score for a question, and a block is scored only for questions that it
-can still change. Many questions are answered in rounds of bounded size.
+can still change. Many questions are answered in rounds of bounded size; the blocks are read and shuffled once for each ``PASS`` rounds, which look at a
+block one after another.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from .vectorize import Vocabulary, VectorizerSpec
 BLOCK = 1024
 RANGE = 64
 ROUND = 4096
+PASS = 16
 SEED_BLOCKS = 256
 USUAL = 160
 SLACK = 2 * 10.0 ** -DIGITS
@@ -150,13 +152,39 @@ class Round:
         self.floor[self.row[full]] = np.maximum(self.floor[self.row[full]], self.score[full])
 
 
-def _scored(rows: DataFrame, lists: list, weights: list, ids: list, k: int, floor: np.ndarray | None, q_type: str, counter=None) -> DataFrame:
+class Rounds:
+    """The rounds of a pass, over the same blocks. A question is known by its place in the pass."""
+
+    def __init__(self, lists: list[list[int]], weights: list[list[float]], k: int, floor: np.ndarray | None = None, size: int = ROUND):
+        at = [slice(i, i + size) for i in range(0, len(lists), size)]
+        self.size, self.parts = size, [Round(lists[x], weights[x], k, None if floor is None else floor[x]) for x in at]
+
+    def bound(self, terms: np.ndarray, tops: np.ndarray) -> np.ndarray:
+        made = [np.zeros(0)]
+        for r in self.parts:
+            known = np.isin(terms, r.terms)
+            made.append(r.bound(terms[known], tops[known]))
+        return np.concatenate(made)
+
+    def add(self, terms: np.ndarray, tops: np.ndarray, lists: list[tuple[np.ndarray, np.ndarray]], ids: list[str], gone: np.ndarray) -> None:
+        for r in self.parts:
+            known = np.flatnonzero(np.isin(terms, r.terms))
+            r.add(terms[known], tops[known], [lists[j] for j in known], ids, gone)
+
+    def best(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places, texts and scores of the best, round by round."""
+        for i, r in enumerate(self.parts):
+            yield r.row + i * self.size, r.id, r.score
+
+
+def _scored(rows: DataFrame, lists: list, weights: list, ids: list, k: int, floor: np.ndarray | None, q_type: str, counter=None,
+            size: int = ROUND) -> DataFrame:
     """``q_id, item_id, distance``: the best ``k`` texts of the given posting rows for each question, by task."""
     shared = rows.sparkSession.sparkContext.broadcast((lists, weights, ids, floor))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists, weights, q_ids, floor = shared.value
-        asked = Round(lists, weights, k, floor)
+        asked = Rounds(lists, weights, k, floor, size)
         block, held, names, gone = None, [], [], []
 
         def close() -> None:
@@ -177,11 +205,12 @@ def _scored(rows: DataFrame, lists: list, weights: list, ids: list, k: int, floo
                     held.append((term, top, (places[i].values.to_numpy(), values[i].values.to_numpy())))
         close()
         if counter is not None:
-            for total, n in zip(counter, (asked.bounded, asked.scored)):
+            for total, n in zip(counter, (sum(r.bounded for r in asked.parts), sum(r.scored for r in asked.parts))):
                 total.add(n)
-        made = [[q_ids[r] for r in asked.row], asked.id.tolist(), (np.round(1.0 - asked.score, DIGITS) + 0.0).tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(made[0], pa.int64() if q_type == "bigint" else pa.string()), pa.array(made[1], pa.string()), pa.array(made[2], pa.float64())],
-                                         names=["q_id", "item_id", "distance"])
+        for row, texts, found in asked.best():
+            made = [[q_ids[r] for r in row], texts.tolist(), (np.round(1.0 - found, DIGITS) + 0.0).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(made[0], pa.int64() if q_type == "bigint" else pa.string()), pa.array(made[1], pa.string()), pa.array(made[2], pa.float64())],
+                                             names=["q_id", "item_id", "distance"])
 
     ordered = rows.repartition("block").sortWithinPartitions("block", "term_idx")
     return ordered.mapInArrow(score, f"q_id {q_type}, item_id string, distance double")
@@ -248,18 +277,18 @@ class InvertedIndex:
         """
         q_type = asked.schema["q_id"].dataType.simpleString()
         asked = asked.filter(F.size("idx") > 0).select("q_id", "idx", "weight").persist()
-        rounds = max(1, -(-asked.count() // round_size))
+        passes = max(1, -(-asked.count() // (round_size * PASS)))
         found = None
-        for i in range(rounds):
-            part = asked.filter(F.pmod(F.xxhash64(F.lit(9), "q_id"), F.lit(rounds)) == i).toArrow()
+        for i in range(passes):
+            part = asked.filter(F.pmod(F.xxhash64(F.lit(9), "q_id"), F.lit(passes)) == i).toArrow()
             lists, weights, ids = (part.column(c).to_pylist() for c in ("idx", "weight", "q_id"))
             rows = self.read_terms(sorted({t for one in lists for t in one}))
-            floor = self._floors(rows, lists, weights, k, seed_blocks)
-            made = _scored(rows, lists, weights, ids, k, floor, q_type, counter)
+            floor = self._floors(rows, lists, weights, k, seed_blocks, round_size)
+            made = _scored(rows, lists, weights, ids, k, floor, q_type, counter, round_size)
             found = made if found is None else found.unionAll(made)
         return _ranked(found, k)
 
-    def _floors(self, rows: DataFrame, lists: list, weights: list, k: int, seed_blocks: int) -> np.ndarray | None:
+    def _floors(self, rows: DataFrame, lists: list, weights: list, k: int, seed_blocks: int, size: int = ROUND) -> np.ndarray | None:
         """For each question a score that its ``k`` best texts reach, from one block each."""
         if not lists or rows.filter(F.col("term_idx") == IDS).count() < seed_blocks:
             return None
@@ -267,7 +296,7 @@ class InvertedIndex:
         q = self.spark.sparkContext.broadcast((lists, weights))
 
         def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            asked, bounds = Round(*q.value, 1), {}
+            asked, bounds = Rounds(*q.value, 1, size=size), {}
             for batch in batches:
                 block, term, top = (batch.column(c).to_numpy() for c in ("block", "term_idx", "top"))
                 for b in np.unique(block):
@@ -279,8 +308,8 @@ class InvertedIndex:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(most))), pa.array(table.max(axis=0)), pa.array(names[most])], names=["q", "bound", "block"])
 
         spread = tops.repartition("block").mapInArrow(best, "q long, bound double, block long")
-        chosen = spread.groupBy("q").agg(F.max_by("block", "bound").alias("block")).select("block").distinct()  # a row per question of the round at most
-        first = _scored(rows.join(F.broadcast(chosen), "block", "left_semi"), lists, weights, list(range(len(lists))), k, None, "bigint")
+        chosen = spread.groupBy("q").agg(F.max_by("block", "bound").alias("block")).select("block").distinct()  # a row per question of the pass at most
+        first = _scored(rows.join(F.broadcast(chosen), "block", "left_semi"), lists, weights, list(range(len(lists))), k, None, "bigint", size=size)
         floor = np.zeros(len(lists))
         for r in _ranked(first, k).filter(F.col("rank") == k).select("q_id", "distance").collect():
             floor[r["q_id"]] = 1.0 - r["distance"]

@@ -89,6 +89,22 @@ def test_search_skips_blocks_and_reads_few_terms(spark):
     assert read < 0.1 * index.rows().count()
 
 
+def test_blocks_are_read_once_for_many_rounds(spark, monkeypatch):
+    rows = [(f"d{i}", " ".join(f"{w}{w}{w}" for w in ("abcdefgh"[i % 8], "abcdefgh"[i // 8 % 8], "zzz"[i % 3]))) for i in range(200)] + [("none", "")]
+    chunks = spark.createDataFrame(rows, "id string, text string")
+    vocab = vectorize.fit(chunks, "text", SPEC)
+    index = InvertedIndex(spark, scratch_path(spark, "i"))
+    index.add(vectorize.sparse_rows(chunks, "text", vocab, "id"), "id", size=30)
+    asked = [(f"q{i}", f"{c * 3} {'abcdefgh'[i // 2] * 3}") for i, c in enumerate("abcdefgh")]
+    weights = vectorize.sparse_rows(spark.createDataFrame(asked, "row_id string, text string"), "text", vocab).withColumnRenamed("row_id", "q_id")
+    reads, real = [], inverted_index._scored
+    monkeypatch.setattr(inverted_index, "_scored", lambda *a, **b: (reads.append(1), real(*a, **b))[1])
+    for seeds, most in ((1000, 1), (1, 2)):  # with few blocks once, else once more for the bounds
+        reads.clear()
+        got = {(r["q_id"], r["item_id"], r["rank"], r["distance"]) for r in index.search(weights, 3, seed_blocks=seeds, round_size=1).collect()}
+        assert got == brute(spark, vocab, rows, asked, 3) and len(reads) == most
+
+
 def test_vectoriser_matches_counting(spark):
     rng = np.random.default_rng(3)
     rows = [(i, " ".join(rng.choice(["aa", "bb", "cc", "éé", "x"], size=n))) for i, n in enumerate([0, 1, 2, 3, 9, 40])] + [(9, None)]
